@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from lopside.functions.numbers import count_when, ratio
+from lopside.operators.lookups import attach, small_rows
 from lopside.operators.sorted_passes import exact_quantiles
 
 
@@ -154,14 +155,14 @@ def dataset_defaults(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 def fill_defaults(df: DataFrame, defaults: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace missing inputs by the dataset defaults.
 
-    Each default is a one-row subquery, so the rows themselves are only projected.
+    The defaults have one row per column and become literals of a projection.
     """
     schema = {f.name: f.dataType for f in df.schema.fields}
+    found = {r["column"]: r for r in small_rows(defaults)}
 
     def default(c: str) -> Column:
         numeric = isinstance(schema[c], NumericType)
-        return defaults.filter(F.col("column") == c).agg(
-            F.max("median" if numeric else "mode").alias("v")).scalar().cast(schema[c])
+        return F.lit(found[c]["median" if numeric else "mode"]).cast(schema[c])
 
     return df.withColumns({c: F.coalesce(F.col(c), default(c)) for c in columns})
 
@@ -244,7 +245,6 @@ def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
         F.count("*").alias("n"))
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     inside = (F.col("v") >= F.col("q25") - reach) & (F.col("v") <= F.col("q75") + reach)
-    from lopside.operators.lookups import attach
     joined = attach(values, q, [by])
     return joined.groupBy(by).agg(
         F.first("q25").alias("q25"), F.first("q50").alias("q50"), F.first("q75").alias("q75"),
@@ -283,7 +283,6 @@ def density_estimate(df: DataFrame, value: Column, by: str, grid: int = 200, bin
     stats = rows.groupBy("_c").agg(
         F.count("*").alias("n"), F.stddev_samp("v").alias("s"), F.min("v").alias("lo"),
         F.max("v").alias("hi")).withColumn("h", F.pow(F.col("n"), F.lit(-0.2)) * F.col("s"))
-    from lopside.operators.lookups import attach
     placed = attach(rows, stats, ["_c"])
     width = (F.col("hi") - F.col("lo")) / bins
     cell = F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(bins - 1))

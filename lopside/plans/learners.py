@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -17,6 +18,7 @@ from lopside.operators.splits import class_weights, hash_key
 from lopside.plans.stages import TabularEncoder
 
 SEED = 42
+ROWS_PER_TASK = 10_000
 
 
 def label_weights(df: DataFrame, label: str) -> dict:
@@ -84,7 +86,10 @@ def fit_tabular(train: DataFrame, label: str, categorical: list[str], numeric: l
         "features", F.col(label).cast("double").alias("_y"), weight.alias("_w"),
         check.alias("_check")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = learner(rows.count()).fit(rows)
+        n = rows.count()
+        # An iterative fit runs hundreds of small stages: too many tasks for few
+        # rows only cost time. Larger tables keep all their partitions.
+        model = learner(n).fit(rows.coalesce(math.ceil((n + 1) / ROWS_PER_TASK)))
     finally:
         rows.unpersist()
     return PipelineModel([encoder, model])

@@ -1 +1,209 @@
-"""Learners (checked by invariants, since another solver gives other digits)."""
+"""Learners. Most are checked by invariants in the tests, as solvers differ in digits.
+
+The counts-based naive Bayes has a closed form and an exact SQL check.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from lopside.functions.text import build_text, with_terms
+from lopside.functions.transactions import (CATEGORICAL, FEATURES, IDENTITY_FREE, TRANSACTION_ONLY)
+from lopside.operators.confusion import class_report, report_totals
+from lopside.operators.explain import permutation_importance
+from lopside.operators.multilabel import reliability
+from lopside.operators.splits import fixed_sample, stratified_split
+from lopside.plans import compare, extras, training
+from lopside.plans.calibration import CalibratedSVC
+from lopside.plans.learners import (boosting, fit_tabular, forest, impurity_importance, logistic,
+                                    score_tabular)
+from lopside.plans.stages import TextTfidf
+from lopside.queries.audits import FLAGGED
+from lopside.queries.registry import query, rounded
+from lopside.queries.texts import TOKENS, stop_words
+from lopside.session import durable
+from lopside.sources.standins import CHURN_CATEGORICAL, CHURN_NUMERIC
+
+NUMERIC = [c for c in FEATURES if c not in CATEGORICAL]
+
+
+def churn_parts(t):
+    return stratified_split(t.churn, "Exited", "CustomerId", 0.2)
+
+
+def genre_parts(t, with_title: bool = True):
+    text = build_text(F.col("title") if with_title else None, F.col("description"))
+    return stratified_split(t.genre.select("id", "genre", text.alias("text")), "genre", "id", 0.2)
+
+
+@query("counted_naive_bayes", "M01 M08 X09", sql=f"""with {FLAGGED},
+  e as (select row_id, label, in_test, unnest({TOKENS.format(c='message')}) as term from flagged),
+  tr as (select label, term, count(*) as c from e where not in_test group by 1, 2),
+  vocab as (select distinct term from tr),
+  tot as (select label, sum(c) as total from tr group by 1),
+  pri as (select label, count(*) as n from flagged where not in_test group by 1),
+  te as (select row_id, term, count(*) as tf from e where in_test and term in (select term from vocab) group by 1, 2),
+  cls as (select label, ln((n + 1) / ((select sum(n) from pri) + 2)) as prior, total + (select count(*) from vocab) as den
+    from pri join tot using (label)),
+  s as (select te.row_id, cls.label, sum(tf * (ln(coalesce(tr.c, 0) + 1) - ln(den))) as ll
+    from te cross join cls left join tr on tr.term = te.term and tr.label = cls.label group by 1, 2)
+  select f.row_id, round(max(case when cls.label = 'ham' then prior + coalesce(ll, 0) end), 4) as ham,
+    round(max(case when cls.label = 'spam' then prior + coalesce(ll, 0) end), 4) as spam
+  from flagged f cross join cls left join s on s.row_id = f.row_id and s.label = cls.label where f.in_test group by 1""")
+def _(t):
+    train, test = stratified_split(t.sms, "label", "row_id", 0.2)
+    seen, unseen = (with_terms(p, "message") for p in (train, test))
+    counter = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=1 << 24).fit(seen)
+    data = counter.transform(seen).select("features", (F.col("label") == "spam").cast("double").alias("_y"))
+    model = NaiveBayes(labelCol="_y", smoothing=1.0).fit(data)
+    raw = vector_to_array("rawPrediction")
+    return model.transform(counter.transform(unseen)).select(
+        "row_id", F.round(raw[0], 4).alias("ham"), F.round(raw[1], 4).alias("spam"))
+
+
+@query("fraud_learner_comparison", "M09 M02 M04 M06 C04 C06 C08 K01")
+def _(t):
+    return compare.compare_tabular(*t.feature_parts, "is_fraud", CATEGORICAL, NUMERIC,
+                                   compare.fraud_learners(), "row_id")
+
+
+@query("fraud_ablation", "M10 P21 M04")
+def _(t):
+    sets = {"full (9 features)": FEATURES, "identity-free": IDENTITY_FREE, "transaction-only": TRANSACTION_ONLY}
+    return compare.ablation(*t.feature_parts, "is_fraud", sets, CATEGORICAL, "row_id")
+
+
+@query("churn_learner_comparison", "M09 M02 M04 M05 C07")
+def _(t):
+    return compare.compare_tabular(*churn_parts(t), "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC,
+                                   compare.churn_learners(), "CustomerId", order="roc_auc")
+
+
+@query("churn_training", "M05 L06 E11 S13")
+def _(t):
+    return training.train_churn(t.churn, "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC).metrics
+
+
+@query("fraud_training", "M04 E12 E15 L02")
+def _(t):
+    return training.train_fraud(*t.txn_parts).metrics
+
+
+@query("churn_impurity_importance", "I02 C05 M05")
+def _(t):
+    train, _ = churn_parts(t)
+    model = fit_tabular(train, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, boosting)
+    return impurity_importance(model, t.spark).orderBy(F.desc("importance"), "feature")
+
+
+@query("churn_permutation_importance", "I01 M08")
+def _(t):
+    train, test = churn_parts(t)
+    model = fit_tabular(train, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, boosting)
+    return permutation_importance(lambda df: score_tabular(model, df), test, "CustomerId", "Exited",
+                                  [*CHURN_CATEGORICAL, *CHURN_NUMERIC], "roc_auc", repeats=15)
+
+
+@query("fraud_permutation_importance", "I01 L05 J04")
+def _(t):
+    train, test = t.feature_parts
+    model = fit_tabular(train, "is_fraud", CATEGORICAL, NUMERIC, forest, True)
+    sample = fixed_sample(test, "row_id", 60_000)
+    return permutation_importance(lambda df: score_tabular(model, df), sample, "row_id", "is_fraud",
+                                  FEATURES, "average_precision", repeats=5)
+
+
+def _genre_vectorisers() -> TextTfidf:
+    return TextTfidf("text", min_df=2, ngram_range=(1, 2), stop_words=stop_words(), accents=False)
+
+
+@query("genre_learner_comparison", "M09 M01 M02 M03 I09 X10 X11 A28")
+def _(t):
+    plain = genre_parts(t, with_title=False)
+    titled = genre_parts(t)
+    a = compare.compare_texts(*plain, "id", "genre", {"description only": _genre_vectorisers()})
+    b = compare.compare_texts(*titled, "id", "genre", {"title + description": _genre_vectorisers()})
+    return a.unionByName(b).orderBy(F.desc("macro_f1"), "features", "model")
+
+
+@query("title_effect", "I09 P21")
+def _(t):
+    one = ("MultinomialNB", "LinearSVC")
+    a = compare.compare_texts(*genre_parts(t, False), "id", "genre", {"description only": _genre_vectorisers()}, one)
+    b = compare.compare_texts(*genre_parts(t), "id", "genre", {"title + description": _genre_vectorisers()}, one)
+    return compare.feature_set_gain(a.unionByName(b), "description only", "title + description")
+
+
+@query("message_learner_comparison", "M09 M01 M02 M03 X04 X10")
+def _(t):
+    train, test = stratified_split(t.sms_unique, "label", "row_id", 0.2)
+    vectorisers = {
+        "word (1,2)": TextTfidf("message", ngram_range=(1, 2), accents=False),
+        "char_wb (3,5)": TextTfidf("message", analyzer="char_wb", ngram_range=(3, 5), min_df=2)}
+    return compare.compare_texts(train, test, "row_id", "label", vectorisers, positive="spam")
+
+
+@query("genre_calibration", "M07 E18 M03 L04 X06 X07 X08")
+def _(t):
+    train, test = genre_parts(t)
+    tfidf = _genre_vectorisers().fit(train)
+    seen = durable(tfidf.transform(train).select("id", "genre", "features"))
+    unseen = durable(tfidf.transform(test).select("id", "genre", "features"))
+    out = None
+    for name, folds in (("uncalibrated", 0), ("calibrated", 3)):
+        model = CalibratedSVC("genre", "id", folds=folds).fit(seen)
+        row = report_totals(class_report(model.transform(unseen), "genre", "predicted")).select(
+            F.lit(name).alias("model"), "accuracy", "macro_f1", "weighted_f1", "n_test")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("message_training", "M07 L03 L06 W01 E02")
+def _(t):
+    return training.train_messages(t.sms_unique).metrics
+
+
+@query("amount_weighted_learner", "N04 M02")
+def _(t):
+    train, test = t.feature_parts
+    model = fit_tabular(train, "is_fraud", CATEGORICAL, NUMERIC, logistic, sample_weight=F.col("amt"))
+    scored = durable(score_tabular(model, test).select(F.lit("amount weighted").alias("model"), "is_fraud", "p"))
+    return compare.tabular_results(scored, "is_fraud", ["model"])
+
+
+@query("isotonic_reliability", "N05 M02")
+def _(t):
+    train, test = churn_parts(t)
+    fit_part, held = stratified_split(train, "Exited", "CustomerId", 0.2, seed=43)
+    model = fit_tabular(fit_part, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, logistic)
+    curve = extras.isotonic(score_tabular(model, held), "Exited")
+    scored = durable(curve.transform(score_tabular(model, test).withColumn("_p", F.col("p"))))
+    before = reliability(scored, "Exited", F.col("p")).withColumn("model", F.lit("raw"))
+    after = reliability(scored, "Exited", F.col("p_isotonic")).withColumn("model", F.lit("isotonic"))
+    return rounded(before.unionByName(after))
+
+
+@query("repeated_fold_metrics", "N06 L04")
+def _(t):
+    return extras.repeated_folds(t.churn, "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC,
+                                 k=3, seeds=(42, 43))
+
+
+@query("word_and_char_union", "N07 M03")
+def _(t):
+    train, test = stratified_split(t.sms_unique, "label", "row_id", 0.2)
+    vectors = extras.word_and_char_vectors("message")(train)
+    seen = durable(vectors.transform(train).select("row_id", "label", "features"))
+    model = CalibratedSVC("label", "row_id", folds=0).fit(seen)
+    predicted = model.transform(vectors.transform(test))
+    return class_report(predicted, "label", "predicted")
+
+
+@query("random_search", "N10")
+def _(t):
+    space = {"maxDepth": [2, 3, 4], "maxIter": [10, 20], "stepSize": [0.05, 0.1, 0.2]}
+    return extras.random_search(t.churn, "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC,
+                                space, tries=4)
