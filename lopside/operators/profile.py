@@ -73,12 +73,10 @@ def duplicates_by_class(df: DataFrame, key: str, label: str, order: str) -> Data
     each key's first row is taken away.
     """
     sizes = df.groupBy(key, label).agg(F.count("*").alias("n"), F.min(order).alias("_first"))
-    totals = sizes.groupBy(label).agg(F.sum("n").alias("n"))
     firsts = (sizes.groupBy(key).agg(F.min(F.struct("_first", label)).alias("f"))
-              .groupBy(F.col(f"f.{label}").alias(label)).agg(F.count("*").alias("firsts")))
-    return (totals.join(firsts, label, "left")
-            .select(label, (F.col("n") - F.coalesce("firsts", F.lit(0))).alias("n_duplicates"))
-            .filter("n_duplicates > 0"))
+              .select(F.col(f"f.{label}").alias(label), F.lit(-1).cast("bigint").alias("n")))
+    return (sizes.select(label, "n").unionByName(firsts).groupBy(label)
+            .agg(F.sum("n").alias("n_duplicates")).filter("n_duplicates > 0"))
 
 
 def conflicting_labels(df: DataFrame, key: str, label: str) -> DataFrame:
