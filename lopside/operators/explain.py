@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -13,14 +14,31 @@ from lopside.operators.sorted_passes import hash_key, numbered
 from lopside.session import durable
 
 
-def shuffled_column(df: DataFrame, row_id: str, column: str, seed: str) -> DataFrame:
-    """(row_id, column) with the values dealt out again at random.
+def shuffled_copies(df: DataFrame, row_id: str, features: Sequence[str], repeats: int,
+                    seed: int = 42) -> DataFrame:
+    """Copies of the rows, keyed (column, repeat), each with that column dealt out again.
 
-    The k-th row of one hash order receives the value of the k-th row of another.
+    The rows are numbered once in a random order. In a copy every row takes the
+    value of the row a random distance further on in that order, so one join serves
+    all copies, and the plan does not grow with their number. The copy keyed
+    ('', 0) is unchanged.
     """
-    takes = numbered(df.select(row_id), hash_key(F.col(row_id), f"{seed}:takes"), "_k")
-    gives = numbered(df.select(row_id, column), hash_key(F.col(row_id), f"{seed}:gives"), "_k")
-    return takes.join(gives.select("_k", column), "_k").select(row_id, column)
+    base = durable(numbered(df, hash_key(F.col(row_id), f"{seed}:order"), "_k"))
+    n = base.count()
+    draw = random.Random(seed)
+    copies = [("", 0, 0)] + [(c, r, draw.randrange(1, n) if n > 1 else 0)
+                             for c in features for r in range(repeats)]
+    keys = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat"), F.lit(o).cast("bigint").alias("off"))
+        for c, r, o in copies]))
+    takers = base.withColumn("_copy", keys).withColumn(
+        "_from", F.pmod(F.col("_k") - 1 + F.col("_copy.off"), F.lit(n)) + 1)
+    givers = base.select(F.col("_k").alias("_from"), F.struct(*features).alias("_given"))
+    joined = takers.join(givers, "_from")
+    return joined.select(
+        "_copy.column", "_copy.repeat", *[c for c in df.columns if c not in features],
+        *[F.when(F.col("_copy.column") == c, F.col(f"_given.{c}")).otherwise(F.col(c)).alias(c)
+          for c in features])
 
 
 def permutation_importance(score: Callable[[DataFrame], DataFrame], df: DataFrame, row_id: str,
@@ -28,17 +46,10 @@ def permutation_importance(score: Callable[[DataFrame], DataFrame], df: DataFram
                            repeats: int = 5, seed: int = 42) -> DataFrame:
     """Mean drop of a ranking metric when a column is shuffled.
 
-    All shuffled copies are stacked and scored as one table, with the column and
-    the repeat as keys; ``score`` adds the probability ``p``.
+    All shuffled copies are scored as one table; ``score`` adds the probability ``p``.
     """
-    base = durable(df.select(row_id, label, *features))
-    stacked = base.withColumn("column", F.lit("")).withColumn("repeat", F.lit(0))
-    for c in features:
-        for r in range(repeats):
-            changed = base.drop(c).join(shuffled_column(base, row_id, c, f"{seed}:{r}:{c}"), row_id)
-            stacked = stacked.unionByName(
-                changed.withColumn("column", F.lit(c)).withColumn("repeat", F.lit(r)))
     keys = ["column", "repeat"]
+    stacked = shuffled_copies(df.select(row_id, label, *features), row_id, features, repeats, seed)
     scored = durable(score(stacked).select(*keys, label, "p"))
     found = durable(rank_metrics(ranking_points(scored, label, "p", keys), keys))
     reference = found.filter("column = ''").select(metric).scalar()

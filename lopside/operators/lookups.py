@@ -1,4 +1,4 @@
-"""Joining small derived tables, with the size checked before any broadcast."""
+"""Joining derived tables, with the size checked before any broadcast."""
 
 from __future__ import annotations
 
@@ -7,12 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lopside.operators.sorted_passes import lookup_join
 from lopside.session import durable
 
 BROADCAST_ROWS = 200_000
 
 
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
+                salts: int = 8) -> DataFrame:
+    """Join a table of unique keys to facts whose hottest key may be huge.
+
+    The lookup side is copied ``salts`` times and each fact row picks one copy, so
+    a hot key is spread over that many tasks. If the lookup turns out small, AQE
+    measures it at run time and broadcasts it instead.
+    """
+    on = list(on)
+    others = [c for c in facts.columns if c not in on]
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in (others or on)]), F.lit(salts)).cast("int")
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return facts.withColumn("_salt", spread).join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def _is_small(table: DataFrame, limit: int) -> bool:
+    return table.limit(limit + 1).count() <= limit
+
+
 def attach(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
            limit: int = BROADCAST_ROWS) -> DataFrame:
     """Add the columns of a derived lookup table with unique keys.
@@ -21,11 +39,19 @@ def attach(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "i
     ``limit`` rows. Beyond it the facts are salted and joined by a shuffle.
     """
     lookup = durable(lookup)
-    if lookup.limit(limit + 1).count() <= limit:
+    if _is_small(lookup, limit):
         return facts.join(F.broadcast(lookup), list(on), how)
     return lookup_join(facts, lookup, on, how)
 
 
+def keep_matching(facts: DataFrame, keys: DataFrame, on: Sequence[str],
+                  limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows whose key is in a table of keys, filtered before any shuffle if it is small."""
+    if _is_small(keys, limit):
+        return facts.join(F.broadcast(keys), list(on), "left_semi")
+    return facts.join(keys, list(on), "left_semi")
+
+
 def small_rows(df: DataFrame, limit: int = 10_000) -> list:
     """Read a table that must be small (class lists, categories) to the driver."""
     rows = df.limit(limit + 1).collect()

@@ -101,25 +101,23 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 # ---- class balance ---------------------------------------------------------------------
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
-    return (df.groupBy(column).agg(F.count("*").alias("n"))
-            .withColumn("share", F.col("n") / total).orderBy(F.desc("n"), column))
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("n")).scalar()
+    return counts.withColumn("share", F.col("n") / total).orderBy(F.desc("n"), column)
 
 
 def imbalance(df: DataFrame, label: str) -> DataFrame:
     """Largest and smallest class, their ratio, top-2 share, majority baseline."""
     counts = df.groupBy(F.col(label).alias("c")).agg(F.count("*").alias("n"))
-    # One row per class, so sorting the classes into an array is small.
-    ordered = counts.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "c"))).alias("a"),
-                         F.sum("n").alias("n_rows"))
-    first, last = F.col("a")[0], F.element_at("a", -1)
-    second = F.try_element_at("a", F.lit(2))
-    return ordered.select(
-        F.size("a").cast("bigint").alias("n_classes"), first["c"].alias("largest"),
-        (-first["m"]).alias("n_largest"), last["c"].alias("smallest"),
-        (-last["m"]).alias("n_smallest"), (first["m"] / last["m"]).alias("ratio"),
-        ((-first["m"] - F.coalesce(second["m"], F.lit(0))) / F.col("n_rows")).alias("top2_share"),
-        (-first["m"] / F.col("n_rows")).alias("baseline_accuracy"))
+    top2 = counts.orderBy(F.desc("n"), "c").limit(2).agg(F.sum("n").alias("n")).scalar()
+    place = F.struct((-F.col("n")).alias("m"), "c")
+    ends = counts.agg(F.count("*").alias("n_classes"), F.sum("n").alias("n_rows"),
+                      F.min(place).alias("first"), F.max(place).alias("last"))
+    return ends.select(
+        "n_classes", F.col("first.c").alias("largest"), (-F.col("first.m")).alias("n_largest"),
+        F.col("last.c").alias("smallest"), (-F.col("last.m")).alias("n_smallest"),
+        (F.col("first.m") / F.col("last.m")).alias("ratio"), (top2 / F.col("n_rows")).alias("top2_share"),
+        (-F.col("first.m") / F.col("n_rows")).alias("baseline_accuracy"))
 
 
 def load_summary(df: DataFrame, label: str, at: str | None = None) -> DataFrame:

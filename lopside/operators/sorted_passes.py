@@ -16,7 +16,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lopside.session import buckets_for
+from lopside.operators.lookups import keep_matching, lookup_join
+from lopside.session import buckets_for, durable
 
 BUCKET = "_bucket"
 
@@ -100,8 +101,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     """Exact, linearly interpolated quantiles, long: (by..., column, p, value).
 
     Two scans: the first only counts buckets (combined before the shuffle), the
-    second keeps just the buckets that hold a wanted rank. No task sees a whole
-    group, however large the group is.
+    second keeps just the buckets that hold a wanted rank, before its shuffle. No
+    task sees a whole group, however large the group is.
     """
     by = list(by)
     keys = [*by, "column"]
@@ -114,12 +115,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         F.sum("_n").over(_over(keys)).alias("_total"))
     wanted = counts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
     at = F.col("p") * (F.col("_total") - 1)
-    wanted = (wanted.withColumn("_at", at)
-              .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))))
-              .filter((F.col("_before") <= F.col("_rank"))
-                      & (F.col("_rank") < F.col("_before") + F.col("_n"))))
-    needed = wanted.select(*keys, BUCKET).distinct()
-    kept = (long.join(needed, [*keys, BUCKET], "left_semi")
+    wanted = durable(
+        wanted.withColumn("_at", at)
+        .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))))
+        .filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n"))))
+    kept = (keep_matching(long, wanted.select(*keys, BUCKET).distinct(), [*keys, BUCKET])
             .groupBy(*keys, BUCKET, "value").agg(F.count("*").alias("_m")))
     inside = Window.partitionBy(*keys, BUCKET).orderBy("value")
     kept = kept.withColumn("_to", F.sum("_m").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
@@ -164,21 +164,6 @@ def spearman(df: DataFrame, a: str, b: str, out: str = "spearman") -> DataFrame:
         F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), spread).alias(out))
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
-                salts: int = 8) -> DataFrame:
-    """Join a table of unique keys to facts whose hottest key may be huge.
-
-    The lookup side is copied ``salts`` times and each fact row picks one copy, so
-    a hot key is spread over that many tasks. If the lookup turns out small, AQE
-    measures it at run time and broadcasts it instead.
-    """
-    on = list(on)
-    others = [c for c in facts.columns if c not in on]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in (others or on)]), F.lit(salts)).cast("int")
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", spread).join(copies, [*on, "_salt"], how).drop("_salt")
-
-
 def hash_key(row_key: Column, seed: int | str = 42) -> Column:
     """Order that looks random but is the same on any cluster layout."""
     return F.md5(F.concat(F.lit(f"{seed}:"), row_key.cast("string")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lopside.operators.lookups import attach
 from lopside.operators.sorted_passes import hash_key
+from lopside.session import durable
 
 PREFIX = 4
 
@@ -25,9 +26,10 @@ def _cuts(df: DataFrame, label: Column, row_id: str, targets, seed) -> DataFrame
     keyed = keyed.withColumn("_b", F.substring("_h", 1, PREFIX))
     cells = keyed.groupBy("_c", "_b").agg(F.count("*").alias("m"))
     group = Window.partitionBy("_c")
-    cells = cells.select(
+    # At most 65,536 lines per class, used three times below.
+    cells = durable(cells.select(
         "_c", "_b", "m", F.sum("m").over(group).alias("n_c"),
-        F.sum("m").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
+        F.sum("m").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("upto")))
     wanted = cells.select("*", F.posexplode(targets(F.col("n_c"))).alias("j", "target"))
     here = wanted.filter((F.col("upto") - F.col("m") < F.col("target")) & (F.col("target") <= F.col("upto")))
     slices = attach(keyed, here.select(
@@ -103,9 +105,9 @@ def check_time_order(train: DataFrame, test: DataFrame, at: str) -> DataFrame:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight n / (k * n_c) of each class."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    every = Window.partitionBy(F.lit(0))
-    return counts.withColumn("weight", F.sum("n").over(every)
-                             / (F.count("*").over(every) * F.col("n")))
+    whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("k"))
+    return counts.withColumn("weight", whole.select("n").scalar()
+                             / (whole.select("k").scalar() * F.col("n")))
 
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

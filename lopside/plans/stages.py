@@ -84,7 +84,7 @@ class TextTfidf(Estimator):
     """
 
     def __init__(self, text: str, out: str = "features", *, min_df: int = 1, sublinear: bool = True,
-                 max_terms: int = 1 << 24, hashed: int | None = None, **terms):
+                 max_terms: int = 1 << 22, hashed: int | None = None, **terms):
         super().__init__()
         self.text, self.out, self.min_df, self.sublinear = text, out, min_df, sublinear
         self.max_terms, self.hashed, self.terms = max_terms, hashed, terms

@@ -333,12 +333,16 @@ def test_importance_finds_the_used_column(spark):
     assert rows["a"] > 0.2 and rows["b"] == pytest.approx(0.0)
 
 
-def test_shuffled_column_is_a_permutation(skewed):
+def test_shuffled_copies_are_permutations(skewed):
     df, pdf = skewed
-    got = I.shuffled_column(df, "id", "v", "s").toPandas()
-    assert sorted(got.v) == sorted(pdf.v) and set(got.id) == set(pdf.id)
-    merged = got.merge(pdf[["id", "v"]], on="id")
-    assert (merged.v_x != merged.v_y).mean() > 0.5
+    got = I.shuffled_copies(df.select("id", "v", "g"), "id", ["v", "g"], 2).toPandas()
+    assert len(got) == 5 * len(pdf)
+    for (column, _), part in got.groupby(["column", "repeat"]):
+        merged = part.merge(pdf, on="id")
+        for c in ("v", "g"):
+            assert sorted(part[c]) == sorted(pdf[c])
+            moved = (merged[f"{c}_x"] != merged[f"{c}_y"]).mean()
+            assert moved > 0.5 if c == column else moved == 0
 
 
 def test_missing_hours_are_skipped(spark):
