@@ -51,7 +51,7 @@ def linear_svc(n: int, max_iter: int = 100, **kw) -> LinearSVC:
 def forest(n: int, trees: int = 150, leaf: int = 5, depth: int = 15, **kw) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol="_y", weightCol="_w", numTrees=trees, minInstancesPerNode=leaf, maxDepth=depth,
-        maxBins=256, featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=1024, **kw)
+        maxBins=256, featureSubsetStrategy="sqrt", seed=SEED, **kw)
 
 
 def boosting(n: int, rounds: int = 100, depth: int = 3, **kw) -> GBTClassifier:
@@ -73,6 +73,19 @@ def positive_probability(probability: str = "probability") -> Column:
     return vector_to_array(F.col(probability))[1]
 
 
+def spread(rows: DataFrame, n: int) -> DataFrame:
+    """Partitions for an iterative fit, which runs hundreds of small stages.
+
+    Few rows get few tasks, a file that came as one piece is dealt out to all
+    cores, and a table that already has a task per core keeps its partitions.
+    """
+    wanted, have = math.ceil((n + 1) / ROWS_PER_TASK), rows.rdd.getNumPartitions()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if wanted < have:
+        return rows.coalesce(wanted)
+    return rows.repartition(min(wanted, cores)) if have < min(wanted, cores) else rows
+
+
 def fit_tabular(train: DataFrame, label: str, categorical: list[str], numeric: list[str],
                 learner: Callable[[int], Estimator] = forest, balanced: bool = False,
                 row_id: str | None = None, sample_weight: Column | None = None) -> PipelineModel:
@@ -87,9 +100,7 @@ def fit_tabular(train: DataFrame, label: str, categorical: list[str], numeric: l
         check.alias("_check")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = rows.count()
-        # An iterative fit runs hundreds of small stages: too many tasks for few
-        # rows only cost time. Larger tables keep all their partitions.
-        model = learner(n).fit(rows.coalesce(math.ceil((n + 1) / ROWS_PER_TASK)))
+        model = learner(n).fit(spread(rows, n))
     finally:
         rows.unpersist()
     return PipelineModel([encoder, model])

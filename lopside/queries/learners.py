@@ -31,7 +31,7 @@ NUMERIC = [c for c in FEATURES if c not in CATEGORICAL]
 
 
 def churn_parts(t):
-    return stratified_split(t.churn, "Exited", "CustomerId", 0.2)
+    return stratified_split(durable(t.churn), "Exited", "CustomerId", 0.2)
 
 
 def genre_parts(t, with_title: bool = True):
@@ -84,7 +84,7 @@ def _(t):
 
 @query("churn_training", "M05 L06 E11 S13")
 def _(t):
-    return training.train_churn(t.churn, "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC).metrics
+    return training.train_churn(durable(t.churn), "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC).metrics
 
 
 @query("fraud_training", "M04 E12 E15 L02")
@@ -139,7 +139,7 @@ def _(t):
 
 @query("message_learner_comparison", "M09 M01 M02 M03 X04 X10")
 def _(t):
-    train, test = stratified_split(t.sms_unique, "label", "row_id", 0.2)
+    train, test = stratified_split(durable(t.sms_unique), "label", "row_id", 0.2)
     vectorisers = {
         "word (1,2)": TextTfidf("message", ngram_range=(1, 2), accents=False),
         "char_wb (3,5)": TextTfidf("message", analyzer="char_wb", ngram_range=(3, 5), min_df=2)}
@@ -163,7 +163,7 @@ def _(t):
 
 @query("message_training", "M07 L03 L06 W01 E02")
 def _(t):
-    return training.train_messages(t.sms_unique).metrics
+    return training.train_messages(durable(t.sms_unique)).metrics
 
 
 @query("amount_weighted_learner", "N04 M02")
@@ -188,13 +188,13 @@ def _(t):
 
 @query("repeated_fold_metrics", "N06 L04")
 def _(t):
-    return extras.repeated_folds(t.churn, "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC,
+    return extras.repeated_folds(durable(t.churn), "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC,
                                  k=3, seeds=(42, 43))
 
 
 @query("word_and_char_union", "N07 M03")
 def _(t):
-    train, test = stratified_split(t.sms_unique, "label", "row_id", 0.2)
+    train, test = stratified_split(durable(t.sms_unique), "label", "row_id", 0.2)
     vectors = extras.word_and_char_vectors("message")(train)
     seen = durable(vectors.transform(train).select("row_id", "label", "features"))
     model = CalibratedSVC("label", "row_id", folds=0).fit(seen)
@@ -205,5 +205,5 @@ def _(t):
 @query("random_search", "N10")
 def _(t):
     space = {"maxDepth": [2, 3, 4], "maxIter": [10, 20], "stepSize": [0.05, 0.1, 0.2]}
-    return extras.random_search(t.churn, "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC,
+    return extras.random_search(durable(t.churn), "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC,
                                 space, tries=4)
