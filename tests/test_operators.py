@@ -349,3 +349,22 @@ def test_missing_hours_are_skipped(spark):
     rates = spark.createDataFrame([(0, 1.0), (1, 0.0), (5, 0.5)], "hour int, r double")
     got = {r["window"]: r["m"] for r in I.hour_windows(rates, "hour", "r", "m").collect()}
     assert got == {"00:00-03:59": 0.5, "04:00-11:59": 0.5, "12:00-21:59": None, "22:00-23:59": None}
+
+
+def test_columns_are_chosen_from_the_schema(spark):
+    df = spark.createDataFrame([(1, 2.0, "a", "b")], "n int, x double, s string, _c2 string")
+    assert P.columns_except(df, ["s", "_c2"]) == ["n", "x"]
+    assert P.columns_with_prefix(df, "_c") == ["_c2"]
+    assert P.numeric_columns(df) == ["n", "x"]
+
+
+def test_every_listed_operator_has_a_query():
+    import os
+    import re
+
+    from lopside.queries.registry import COVERS
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with open(os.path.join(root, "COVERAGE.md"), encoding="utf-8") as table:
+        listed = set(re.findall(r"^\| ([A-Z]\d\d) \|", table.read(), re.M))
+    assert len(listed) == 195
+    assert listed == {i for ids in COVERS.values() for i in ids.split()}
