@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lopside.llm import packing
+from lopside.llm import packing, toxicity
 from lopside.llm.common import read
 
 QUERIES: dict = {}
@@ -26,3 +26,9 @@ def registered(f):
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.piece_rows(packing.pack(read(spark, folder, "documents"), vocabulary("byte_bpe_50k.json")))
+
+
+@registered
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fifth."""
+    return toxicity.classified(read(spark, folder, "documents"), read(spark, folder, "labels"))
