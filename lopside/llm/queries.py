@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lopside.llm import packing, toxicity
+from lopside.llm import chat, packing, topk, toxicity
 from lopside.llm.common import read
 
 QUERIES: dict = {}
@@ -32,3 +32,21 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learned from the labels outside the held-out fifth."""
     return toxicity.classified(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@registered
+def op3_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector against all others."""
+    vectors = topk.quantised(read(spark, folder, "embeddings"))
+    return topk.top_k(vectors, topk.every(vectors, 100))
+
+
+SQL["op3_maxscore"] = topk.SQL
+
+
+@registered
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations formatted, and what can be read back from them."""
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.union(chat.trap(rows))
+    return chat.read_back(chat.format_chats(rows, vocabulary("byte_bpe_50k.json")))
