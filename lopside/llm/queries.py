@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lopside.llm import chat, packing, topk, toxicity
+from lopside.llm import chat, lines, packing, topk, toxicity
 from lopside.llm.common import read
 
 QUERIES: dict = {}
@@ -50,3 +50,12 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.union(chat.trap(rows))
     return chat.read_back(chat.format_chats(rows, vocabulary("byte_bpe_50k.json")))
+
+
+@registered
+def op7_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that an earlier document or line has."""
+    return lines.digest_rows(lines.dedup(read(spark, folder, "documents")))
+
+
+SQL["op7_lines"] = lines.SQL
