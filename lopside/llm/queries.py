@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lopside.llm import chat, lines, packing, topk, toxicity
+from lopside.llm import chat, lines, packing, pages, topk, toxicity
 from lopside.llm.common import read
 
 QUERIES: dict = {}
@@ -59,3 +60,10 @@ def op7_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op7_lines"] = lines.SQL
+
+
+@registered
+def op2_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    rows = pages.main_text(read(spark, folder, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
