@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lopside.llm import chat, lines, packing, pages, topk, toxicity
+from lopside.llm import chat, decontaminate, lines, packing, pages, topk, toxicity
 from lopside.llm.common import read
 
 QUERIES: dict = {}
@@ -67,3 +67,12 @@ def op2_pages(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     rows = pages.main_text(read(spark, folder, "pages").select("page_id", "url", "html"))
     return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@registered
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents contain which benchmark items."""
+    return decontaminate.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark")).drop("_key")
+
+
+SQL["op9_decontaminate"] = decontaminate.SQL
