@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lopside.llm import chat, decontaminate, lines, packing, pages, topk, toxicity
+from lopside.llm import chat, dart, decontaminate, lines, packing, pages, topk, toxicity
 from lopside.llm.common import read
 
 QUERIES: dict = {}
@@ -76,3 +76,9 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op9_decontaminate"] = decontaminate.SQL
+
+
+@registered
+def op4_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the least id of its near-duplicate class."""
+    return dart.near_duplicates(read(spark, folder, "documents")).select("doc_id", "class_id")
