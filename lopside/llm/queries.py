@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lopside.llm import chat, dart, decontaminate, lines, packing, pages, topk, toxicity
+from lopside.llm import chat, dart, decontaminate, lattice, lines, packing, pages, topk, toxicity
 from lopside.llm.common import read
 
 QUERIES: dict = {}
@@ -82,3 +82,9 @@ SQL["op9_decontaminate"] = decontaminate.SQL
 def op4_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the least id of its near-duplicate class."""
     return dart.near_duplicates(read(spark, folder, "documents")).select("doc_id", "class_id")
+
+
+@registered
+def op1_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """The log10 probability of every document, learned from six sevenths of them."""
+    return lattice.score(read(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
