@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lopside.llm.common import flat_bytes, mixed, shingles, small_batches, stored, text_bytes, text_slices
 from lopside.llm.decontaminate import _passes, bloom
-from lopside.llm.graph import components
+from lopside.llm.graph import components, relabelled
 
 WORDS, BANDS, ROWS = 5, 20, 4
 SMALL_BUCKET = 64
@@ -186,7 +186,7 @@ def linked(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     pivots = members.groupBy("key").agg(F.min("node").alias("a"))
     waiting = members.join(pivots, "key").filter("node <> a")
     links = stored(similar(stored(waiting.select("a", F.col("node").alias("b")).distinct()), sets, threshold))
-    labels = components(links)
+    labels = stored(components(links))
     waiting, at_once, turn = waiting.select("key", "node"), 8, 0
     while True:
         turn += 1
@@ -205,8 +205,9 @@ def linked(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         first = large.filter("drawn").select("key", F.col("node").alias("a"), F.col("label").alias("_label"))
         pairs = pairs.union(large.join(first, "key").filter("a <> node and _label <> label")
                             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
-        links = stored(links.union(similar(stored(pairs.distinct()), sets, threshold)))
-        labels = components(links)
+        links = stored(similar(stored(pairs.distinct()), sets, threshold))
+        if not links.isEmpty():
+            labels = relabelled(labels, links)
         waiting, at_once = large.filter("not drawn").select("key", "node"), at_once * 4
 
 

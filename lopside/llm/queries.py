@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lopside.llm import chat, dart, decontaminate, lattice, lines, packing, pages, topk, toxicity
+from lopside.llm import chat, dart, decontaminate, lattice, lines, packing, pages, substrings, topk, toxicity
 from lopside.llm.common import read
 
 QUERIES: dict = {}
@@ -88,3 +88,10 @@ def op4_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
 def op1_lattice(spark: SparkSession, folder: str) -> DataFrame:
     """The log10 probability of every document, learned from six sevenths of them."""
     return lattice.score(read(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@registered
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return substrings.digest_rows(substrings.dedup(docs).drop("text"))
