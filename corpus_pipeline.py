@@ -4,17 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lopside.llm import packing
+from lopside.llm import dart, decontaminate, lines, packing, toxicity
 from lopside.llm.common import read, stored
 from lopside.llm.queries import vocabulary
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled rows among them, does not call toxic."""
+    model = toxicity.train(docs, read(spark, folder, "labels"))
+    scored = toxicity.score(docs, model, to="_toxicity")
+    return scored.filter("_toxicity < 0.5").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The document of the least id of each near-duplicate class."""
+    return dart.first_of_each(docs)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without lines that an earlier one has; ``n_chars`` follows the text, emptied documents go."""
+    kept = lines.dedup(docs)
+    out = kept.filter("size(removed) = 0 or trim(text) <> ''")
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", lines.changed_length(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.clean(docs, read(spark, folder, "benchmark")).select(*docs.columns)
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pack what is left into sequences of 2048 tokens."""
     return packing.piece_rows(packing.pack(docs, vocabulary("byte_bpe_50k.json")))
 
 
-STAGES = [("packing", pack_documents)]
+STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_copies), ("line_dedup", drop_repeated_lines),
+          ("decontamination", drop_leaks), ("packing", pack_documents)]
 
 # Learning, sketches and token ids cannot be written in SQL; tests hold run() against brute force.
 ORACLE_SQL = None

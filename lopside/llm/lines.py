@@ -12,7 +12,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lopside.llm.common import small_batches, stored, text_bytes, text_slices
@@ -121,6 +121,11 @@ def digest_rows(kept: DataFrame) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def changed_length(kind) -> Column:
+    """``n_chars`` of the text as it is now, where lines were removed; the given value elsewhere."""
+    return F.when(F.size("removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+
+
 SQL = """
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
