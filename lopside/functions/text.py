@@ -1,18 +1,19 @@
-"""Text expressions: repair, measures, tokens, n-grams. No Python runs per row."""
+"""Text expressions: repair, measures, tokens, n-grams. Only accent stripping needs Python."""
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable
-from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed patterns that the results depend on. (?U) gives Python's Unicode meaning
 # of \s and \w, (?d) its meaning of "." and "$".
 TRAILING_PARENTHETICAL = r"(?Ud)\s*\(.*\)\s*$"
-WORD = r"(?U)\b\w\w+\b"
+WORD = r"[\p{L}\p{N}_]{2,}"  # Python's \w: letters, numbers of every kind, no combining marks
 EDGE_SPACE = r"(?U)^\s+|\s+$"
 SPACE_RUN = r"(?U)\s+"
 
@@ -53,36 +54,22 @@ def shorten(c: Column, n: int) -> Column:
     return F.when(F.length(c) > n, F.concat(F.left(c, F.lit(n)), F.lit("..."))).otherwise(c)
 
 
-@lru_cache(maxsize=1)
-def _accent_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Latin, Greek and Cyrillic letters whose marks decompose away, from Unicode data."""
-    plain, bare, longer = [], [], []
-    for block in (range(0xA0, 0x250), range(0x370, 0x530), range(0x1E00, 0x2000),
-                  range(0xFB00, 0xFB07)):
-        for point in block:
-            letter = chr(point)
-            base = "".join(ch for ch in unicodedata.normalize("NFKD", letter)
-                           if not unicodedata.combining(ch))
-            if base == letter:
-                continue
-            if len(base) == 1:
-                plain.append(letter)
-                bare.append(base)
-            elif point >= 0xFB00 or letter.isalpha():
-                longer.append((letter, base))
-    return "".join(plain), "".join(bare), tuple(longer)
+@F.pandas_udf(StringType())
+def _unmarked(texts: pd.Series) -> pd.Series:
+    def bare(text: str | None) -> str | None:
+        if text is None or text.isascii():
+            return text
+        return "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch))
+
+    return texts.map(bare, na_action="ignore")
 
 
 def strip_accents(c: Column) -> Column:
-    """Compatibility-decompose and drop the combining marks."""
-    plain, bare, longer = _accent_tables()
-    out = F.translate(F.regexp_replace(c, "[\\u0300-\\u036f]", ""), plain, bare)
-    expanded = out
-    for letter, base in longer:
-        expanded = F.replace(expanded, F.lit(letter), F.lit(base))
-    # Letters that become several letters are rare; only texts with one pay for them.
-    rare = "[" + "".join(letter for letter, _ in longer) + "]"
-    return F.when(c.rlike(rare), expanded).otherwise(out)
+    """Compatibility-decompose and drop the combining marks, in every script.
+
+    Spark has no normal forms, so this runs in Arrow batches; ASCII texts pass through.
+    """
+    return _unmarked(c)
 
 
 def word_tokens(c: Column, accents: bool = True) -> Column:

@@ -11,12 +11,12 @@ from lopside.operators.lookups import small_rows
 
 
 def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted values of each categorical column (a guarded, small read)."""
+    """Sorted values of each categorical column; each becomes a column of the design, so they must be few."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
     found = df.select(pairs.alias("p")).select("p.*").filter("value is not null").distinct()
     out: dict[str, list[str]] = {c: [] for c in columns}
-    for row in small_rows(found):
+    for row in small_rows(found, limit=100_000 * len(columns)):
         out[row["column"]].append(row["value"])
     return {c: sorted(v) for c, v in out.items()}
 

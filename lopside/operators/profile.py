@@ -61,7 +61,9 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def duplicate_count(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows beyond the first of each set of equal rows; nulls are equal."""
-    groups = df.groupBy(*columns).agg(F.count("*").alias("n"))
+    # The whole row is long: its digest is what is shuffled. Nulls differ from empty texts.
+    parts = [F.coalesce(F.concat(F.lit("1"), F.col(c).cast("string")), F.lit("0")) for c in columns]
+    groups = df.select(F.sha2(F.to_json(F.array(*parts)), 256).alias("_row")).groupBy("_row").agg(F.count("*").alias("n"))
     return groups.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_distinct"),
                       (F.sum("n") - F.count("*")).alias("n_duplicates"))
 
@@ -151,14 +153,16 @@ def dataset_defaults(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 def fill_defaults(df: DataFrame, defaults: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace missing inputs by the dataset defaults.
 
-    The defaults have one row per column and become literals of a projection.
+    The defaults have one row per column and become literals of a projection. A column
+    without any value has no default and stays empty.
     """
     schema = {f.name: f.dataType for f in df.schema.fields}
     found = {r["column"]: r for r in small_rows(defaults)}
 
     def default(c: str) -> Column:
-        numeric = isinstance(schema[c], NumericType)
-        return F.lit(found[c]["median" if numeric else "mode"]).cast(schema[c])
+        if c not in found:  # no row has a value
+            return F.lit(None).cast(schema[c])
+        return F.lit(found[c]["median" if isinstance(schema[c], NumericType) else "mode"]).cast(schema[c])
 
     return df.withColumns({c: F.coalesce(F.col(c), default(c)) for c in columns})
 

@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lopside.functions.numbers import ratio
-from lopside.operators.sorted_passes import cut_points, running_totals
+from lopside.operators.sorted_passes import has_value, running_totals
 
 
 def ranking_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct score: counts at it and, from the top, tp and fp."""
+    """One row per distinct score: counts at it and, from the top, tp and fp.
+
+    Rows without a score (null, NaN) or label are left out, as in the threshold sweeps.
+    """
     by = list(by)
     y = F.col(label).cast("bigint")
     narrow = df.select(*by, y.alias("_y"), F.col(score).cast("double").alias("score"))
-    points = cut_points(narrow, ["score"])[0]
+    narrow = narrow.filter(has_value(F.col("score")) & F.col("_y").isNotNull())
     tied = narrow.groupBy(*by, "score").agg(
         F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
-    out = running_totals(tied, "score", ["pos", "neg"], by, descending=True, points=points)
+    out = running_totals(tied, "score", ["pos", "neg"], by, descending=True)
     return out.select(*by, "score", "pos", "neg", F.col("cum_pos").alias("tp"),
                       F.col("cum_neg").alias("fp"), F.col("all_pos").alias("positives"),
                       F.col("all_neg").alias("negatives"))

@@ -1,16 +1,20 @@
 """Exact running totals, quantiles and ranks without a one-partition sort.
 
 A window ordered by a value with no partition key puts every row in one task.
-Here the value range is first cut into buckets of about equal row counts. A tiny
-table of bucket totals gives each bucket its starting offset, and the running sum
-inside a bucket is an ordinary partitioned window. Equal values are collapsed
+Here the rows are first cut into buckets of about equal row counts, in the order of
+group and value, so a large group gets many buckets however narrow its values are.
+A tiny table of bucket totals gives each bucket its starting offset, and the running
+sum inside a bucket is an ordinary partitioned window. Equal values are collapsed
 before the window, so one value held by a third of the rows is a single row.
+Rows without a value (null or NaN) are left out by every pass.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +24,8 @@ from lopside.operators.lookups import keep_matching, lookup_join
 from lopside.session import buckets_for, durable
 
 BUCKET = "_bucket"
+SPREAD_ROWS = 50_000  # below this many rows a bucket is not worth a task
+BUCKET_ROWS = 2_000_000  # and above this many it is too large for one
 
 
 def cut_points(df: DataFrame, values: Sequence[str], buckets: int | None = None) -> list[list[float]]:
@@ -48,29 +54,49 @@ def _over(by: Sequence[str]):
     return Window.partitionBy(*(list(by) or [F.lit(0)]))
 
 
+def has_value(c: Column) -> Column:
+    """Neither null nor NaN. All rankings, sweeps and quantiles leave the other rows out."""
+    return c.isNotNull() & ~F.isnan(c.cast("double"))
+
+
+def range_buckets(df: DataFrame, order: Sequence[str], rows_per_bucket: int | None = None) -> DataFrame:
+    """Number the rows' buckets in the order of ``order``; computed once and kept.
+
+    Every bucket holds about the same number of rows; their number follows the row count.
+    """
+    df = durable(df)
+    n = df.count()
+    if rows_per_bucket is None:
+        buckets = max(min(buckets_for(df.sparkSession), n // SPREAD_ROWS), n // BUCKET_ROWS)
+    else:
+        buckets = -(-n // rows_per_bucket)
+    if buckets <= 1:
+        return df.withColumn(BUCKET, F.lit(0))
+    return durable(df.repartitionByRange(buckets, *order).withColumn(BUCKET, F.spark_partition_id()))
+
+
 def running_totals(df: DataFrame, value: str, sums: Sequence[str], by: Sequence[str] = (),
-                   descending: bool = False, points: Sequence[float] | None = None) -> DataFrame:
+                   descending: bool = False, rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``cum_<s>`` (this row included) and ``all_<s>`` for each summed column.
 
-    ``df`` holds one row for each (``by``, ``value``).
+    ``df`` holds one row for each (``by``, ``value``); rows without a value are left out.
     """
     by = list(by)
-    if points is None:
-        points = cut_points(df, [value])[0]
-    placed = assign_bucket(df, value, points)
+    placed = range_buckets(df.filter(has_value(F.col(value))), [*by, value], rows_per_bucket)
 
     def order(c: str) -> Column:
         return F.col(c).desc() if descending else F.col(c).asc()
 
+    keys = [*by, BUCKET]
     earlier = _over(by).orderBy(order(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy(*by, BUCKET).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    totals = placed.groupBy(*keys).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     offsets = totals.select(
-        *by, BUCKET,
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
         *[F.coalesce(F.sum(f"_t_{s}").over(earlier), F.lit(0)).alias(f"_o_{s}") for s in sums],
         *[F.sum(f"_t_{s}").over(_over(by)).alias(f"all_{s}") for s in sums])
-    inside = (Window.partitionBy(*by, BUCKET).orderBy(order(value))
-              .rowsBetween(Window.unboundedPreceding, 0))
-    joined = placed.join(offsets, [*by, BUCKET])
+    inside = Window.partitionBy(*keys).orderBy(order(value)).rowsBetween(Window.unboundedPreceding, 0)
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by] + [F.col(BUCKET) == F.col(f"_k_{BUCKET}")]
+    joined = placed.join(offsets, reduce(and_, same))
     return joined.select(
         *df.columns,
         *[(F.sum(s).over(inside) + F.col(f"_o_{s}")).alias(f"cum_{s}") for s in sums],
@@ -100,12 +126,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
                     by: Sequence[str] = ()) -> DataFrame:
     """Exact, linearly interpolated quantiles, long: (by..., column, p, value).
 
-    Two scans: the first only counts buckets (combined before the shuffle), the
-    second keeps just the buckets that hold a wanted rank, before its shuffle. No
-    task sees a whole group, however large the group is.
+    Without groups two scans are enough: the first only counts buckets (combined before
+    the shuffle), the second keeps just the buckets that hold a wanted rank, before its
+    shuffle. With groups the distinct values get running counts, in buckets cut by group
+    and value. No task sees a whole group, however large or narrow the group is.
     """
     by = list(by)
-    keys = [*by, "column"]
+    if by:
+        return _grouped_quantiles(df, columns, probabilities, by)
+    keys = ["column"]
     long = _long(df, columns, by)
     counts = long.groupBy(*keys, BUCKET).agg(F.count("*").alias("_n"))
     earlier = _over(keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -119,8 +148,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         wanted.withColumn("_at", at)
         .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))))
         .filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n"))))
-    kept = (keep_matching(long, wanted.select(*keys, BUCKET).distinct(), [*keys, BUCKET])
-            .groupBy(*keys, BUCKET, "value").agg(F.count("*").alias("_m")))
+    # Equal values are merged before anything is joined on the bucket.
+    merged = long.groupBy(*keys, BUCKET, "value").agg(F.count("*").alias("_m"))
+    kept = keep_matching(merged, wanted.select(*keys, BUCKET).distinct(), [*keys, BUCKET])
     inside = Window.partitionBy(*keys, BUCKET).orderBy("value")
     kept = kept.withColumn("_to", F.sum("_m").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     hit = (wanted.join(kept, [*keys, BUCKET])
@@ -132,8 +162,28 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     return hit.groupBy(*keys, "p").agg((low + (high - low) * part).alias("value"))
 
 
+def _grouped_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+                       by: Sequence[str]) -> DataFrame:
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                                for c in columns]))
+    keys = [*by, "column"]
+    merged = (df.select(*by, cells.alias("_cell")).select(*by, "_cell.*").filter(has_value(F.col("value")))
+              .groupBy(*keys, "value").agg(F.count("*").alias("m")))
+    run = running_totals(merged, "value", ["m"], keys)
+    wanted = []
+    for p in probabilities:
+        at = F.lit(float(p)) * (F.col("all_m") - 1)
+        wanted += [F.struct(F.lit(float(p)).alias("p"), at.alias("at"), rank.cast("bigint").alias("rank"))
+                   for rank in (F.floor(at), F.ceil(at))]
+    here = F.filter(F.array(*wanted), lambda w: (F.col("cum_m") - F.col("m") <= w["rank"]) & (w["rank"] < F.col("cum_m")))
+    hit = run.select(*keys, "value", F.explode(here).alias("w"))
+    part = F.first("w.at") - F.floor(F.first("w.at"))
+    low, high = F.min("value"), F.max("value")
+    return hit.groupBy(*keys, F.col("w.p").alias("p")).agg((low + (high - low) * part).alias("value"))
+
+
 def average_ranks(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
-    """One row per distinct value with its tie-averaged rank (1-based)."""
+    """One row per distinct value with its tie-averaged rank (1-based); null and NaN have none."""
     n = F.sum(weight) if weight else F.count("*")
     distinct = df.groupBy(value).agg(n.cast("bigint").alias("n"))
     ranked = running_totals(distinct, value, ["n"])

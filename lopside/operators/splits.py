@@ -99,7 +99,7 @@ def check_time_order(train: DataFrame, test: DataFrame, at: str) -> DataFrame:
     out = both.agg(
         F.max(F.when(F.col("part") == "train", F.col(at))).alias("train_end"),
         F.min(F.when(F.col("part") == "test", F.col(at))).alias("test_start"))
-    return out.withColumn("in_order", F.col("train_end") <= F.col("test_start"))
+    return out.withColumn("in_order", F.col("train_end") < F.col("test_start"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

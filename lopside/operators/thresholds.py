@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lopside.functions.numbers import THRESHOLDS, ratio
+from lopside.operators.sorted_passes import has_value
 
 
 def sweep_counts(df: DataFrame, label: str, score: str, amount: Column | None = None,
@@ -18,14 +19,16 @@ def sweep_counts(df: DataFrame, label: str, score: str, amount: Column | None =
 
     A row goes to the bucket "number of thresholds <= its score", found by binary
     search over the thresholds themselves, so a score equal to a threshold is
-    predicted positive at it. Rows x thresholds are never produced.
+    predicted positive at it. Rows x thresholds are never produced. Rows without a
+    score (null, NaN) or label are left out, as in the rankings.
     """
     by = list(by)
     levels = list(thresholds)
     y = F.col(label).cast("bigint")
     value = F.lit(0.0) if amount is None else amount.cast("double")
+    rows = df.select(*by, y.alias("_y"), F.col(score).cast("double").alias("_p"), value.alias("_v"))
     placed = Bucketizer(splits=[-math.inf, *levels, math.inf], inputCol="_p", outputCol="_k").transform(
-        df.select(*by, y.alias("_y"), F.col(score).cast("double").alias("_p"), value.alias("_v")))
+        rows.filter(has_value(F.col("_p")) & F.col("_y").isNotNull()))
     cells = placed.groupBy(*by, F.col("_k").cast("int").alias("k")).agg(
         F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"),
         F.sum(F.when(F.col("_y") == 1, F.col("_v")).otherwise(0.0)).alias("lost"))

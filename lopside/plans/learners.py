@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes,
+from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lopside.operators.lookups import small_rows
-from lopside.operators.splits import class_weights, hash_key
+from lopside.operators.splits import class_weights, hash_key, with_class_weight
 from lopside.plans.stages import TabularEncoder
 
 SEED = 42
-ROWS_PER_TASK = 10_000
+TASK_ROWS = 10_000
 
 
 def label_weights(df: DataFrame, label: str) -> dict:
@@ -33,74 +32,72 @@ def weight_column(weights: dict, label: str) -> Column:
     return out
 
 
-def ridge(n: int, c: float = 1.0) -> float:
+def ridge(n: float, c: float = 1.0) -> float:
     """Spark averages the losses where the penalty C multiplies their sum."""
-    return 1.0 / (c * max(1, n))
+    return 1.0 / (c * max(1.0, n))
 
 
-def logistic(n: int, max_iter: int = 1000, **kw) -> LogisticRegression:
+def logistic(n: float, max_iter: int = 1000, **kw) -> LogisticRegression:
     return LogisticRegression(labelCol="_y", weightCol="_w", regParam=ridge(n), elasticNetParam=0.0,
                               standardization=False, maxIter=max_iter, **kw)
 
 
-def linear_svc(n: int, max_iter: int = 100, **kw) -> LinearSVC:
+def linear_svc(n: float, max_iter: int = 100, **kw) -> LinearSVC:
     return LinearSVC(labelCol="_y", weightCol="_w", regParam=ridge(n), standardization=False,
                      maxIter=max_iter, **kw)
 
 
-def forest(n: int, trees: int = 150, leaf: int = 5, depth: int = 15, **kw) -> RandomForestClassifier:
+def forest(n: float, trees: int = 150, leaf: int = 5, depth: int = 15, **kw) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol="_y", weightCol="_w", numTrees=trees, minInstancesPerNode=leaf, maxDepth=depth,
         maxBins=256, featureSubsetStrategy="sqrt", seed=SEED, **kw)
 
 
-def boosting(n: int, rounds: int = 100, depth: int = 3, **kw) -> GBTClassifier:
-    return GBTClassifier(labelCol="_y", weightCol="_w", maxIter=rounds, maxDepth=depth,
+def boosting(n: float, rounds: int = 100, depth: int = 3, **kw) -> GBTClassifier:
+    return GBTClassifier(labelCol="_y", weightCol="_w", maxIter=rounds, maxDepth=depth, maxBins=256,
                          stepSize=0.1, seed=SEED, **kw)
 
 
-def histogram_boosting(n: int, rounds: int = 300, **kw) -> GBTClassifier:
+def histogram_boosting(n: float, rounds: int = 300, **kw) -> GBTClassifier:
     """Boosting on 256 bins that stops early on a tenth of the rows."""
     return GBTClassifier(labelCol="_y", weightCol="_w", maxIter=rounds, maxDepth=5, maxBins=256,
                          stepSize=0.1, seed=SEED, validationIndicatorCol="_check", **kw)
 
 
-def multinomial_nb(n: int, **kw) -> NaiveBayes:
-    return NaiveBayes(labelCol="_y", modelType="multinomial", smoothing=1.0, **kw)
-
-
 def positive_probability(probability: str = "probability") -> Column:
     return vector_to_array(F.col(probability))[1]
 
 
-def spread(rows: DataFrame, n: int) -> DataFrame:
-    """Partitions for an iterative fit, which runs hundreds of small stages.
+def placed(rows: DataFrame, n: int) -> DataFrame:
+    """Deal the training rows out by a hash of each row, in its order.
 
-    Few rows get few tasks, a file that came as one piece is dealt out to all
-    cores, and a table that already has a task per core keeps its partitions.
+    A forest draws its bootstrap partition by partition, so the same rows must meet in the
+    same partitions: they do, whatever files, cores or partitions the table came in.
     """
-    wanted, have = math.ceil((n + 1) / ROWS_PER_TASK), rows.rdd.getNumPartitions()
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if wanted < have:
-        return rows.coalesce(wanted)
-    return rows.repartition(min(wanted, cores)) if have < min(wanted, cores) else rows
+    return rows.repartition(-(-max(n, 1) // TASK_ROWS), "_key").sortWithinPartitions("_key")
 
 
 def fit_tabular(train: DataFrame, label: str, categorical: list[str], numeric: list[str],
-                learner: Callable[[int], Estimator] = forest, balanced: bool = False,
+                learner: Callable[[float], Estimator] = forest, balanced: bool = False,
                 row_id: str | None = None, sample_weight: Column | None = None) -> PipelineModel:
-    """Encoder and learner, fitted on the training rows only."""
+    """Encoder and learner, fitted on the training rows only.
+
+    ``learner`` is given the rows' total weight, by which a penalty is scaled, so a row of
+    weight 2 counts as two rows in the losses and in the penalty.
+    """
     encoder = TabularEncoder(categorical, numeric).fit(train)
-    weight = weight_column(label_weights(train, label), label) if balanced else F.lit(1.0)
-    if sample_weight is not None:
-        weight = weight * sample_weight
+    weight = F.lit(1.0) if sample_weight is None else sample_weight
+    if balanced:
+        train = with_class_weight(train, label, "_balance")
+        weight = weight * F.col("_balance")
+    key = F.col(row_id) if row_id else F.struct(*categorical, *numeric, label)
     check = (hash_key(F.col(row_id), "check") < F.lit("1999")) if row_id else F.lit(False)
     rows = encoder.transform(train).select(
         "features", F.col(label).cast("double").alias("_y"), weight.alias("_w"),
-        check.alias("_check")).persist(StorageLevel.MEMORY_AND_DISK)
+        check.alias("_check"), hash_key(F.to_json(F.struct(key.alias("k"))), "place").alias("_key")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = rows.count()
-        model = learner(n).fit(spread(rows, n))
+        sums = rows.agg(F.count("*").alias("n"), F.sum("_w").alias("w")).first()
+        model = learner(sums["w"] or 0.0).fit(placed(rows, sums["n"]).drop("_key"))
     finally:
         rows.unpersist()
     return PipelineModel([encoder, model])

@@ -19,6 +19,9 @@ from lopside.functions.text import with_terms
 from lopside.operators.encode import categories, dummies, dummy_names, moments, scaled
 
 
+ALL_TERMS = (1 << 31) - 1  # CountVectorizer wants a number; vectors cannot be longer
+
+
 def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
@@ -78,16 +81,15 @@ class TextTfidf(Estimator):
     """TF-IDF vectors with idf ``ln((1+N)/(1+df)) + 1`` and unit length.
 
     The fitted model is a pipeline of Spark ML stages. The vocabulary is part of
-    the model and must fit in memory; when it outgrows ``max_terms`` the fit stops
-    with an error instead of dropping terms, and ``hashed=`` gives vectors of a
-    fixed size for such corpora (or the long form, which has no limit).
+    the model and must fit in memory; no term is dropped. For larger vocabularies
+    ``hashed=`` gives vectors of a fixed size, and the long form has no limit.
     """
 
     def __init__(self, text: str, out: str = "features", *, min_df: int = 1, sublinear: bool = True,
-                 max_terms: int = 1 << 22, hashed: int | None = None, **terms):
+                 hashed: int | None = None, **terms):
         super().__init__()
         self.text, self.out, self.min_df, self.sublinear = text, out, min_df, sublinear
-        self.max_terms, self.hashed, self.terms = max_terms, hashed, terms
+        self.hashed, self.terms = hashed, terms
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         stages = [TermsOf.of(self.text, "_terms", **self.terms)]
@@ -96,9 +98,7 @@ class TextTfidf(Estimator):
             counter = HashingTF(numFeatures=self.hashed, inputCol="_terms", outputCol="_tf")
         else:
             counter = CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=float(self.min_df),
-                                      vocabSize=self.max_terms).fit(narrow)
-            if len(counter.vocabulary) >= self.max_terms:
-                raise ValueError(f"vocabulary reached {self.max_terms} terms; use hashed= or the long form")
+                                      vocabSize=ALL_TERMS).fit(narrow)
         stages.append(counter)
         counted = counter.transform(narrow)
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0

@@ -109,17 +109,17 @@ def _(t):
 
 
 @query("identity_audit", "I04 J01 A20 W02", sql="""
-  with a as (select cc_num, avg(amt) as x from txn_train group by 1),
+  with a as (select cc_num, avg(cast(is_fraud as double)) as x from txn_train group by 1),
   b as (select cc_num, avg(cast(is_fraud as double)) as y from txn_test group by 1),
-  r as (select rank() over (order by round(x, 6)) + (count(*) over (partition by round(x, 6)) - 1) / 2.0e0 as rx,
+  r as (select rank() over (order by round(x, 9)) + (count(*) over (partition by round(x, 9)) - 1) / 2.0e0 as rx,
     rank() over (order by round(y, 9)) + (count(*) over (partition by round(y, 9)) - 1) / 2.0e0 as ry
     from a join b using (cc_num))
   select count(*) as n, round(corr(rx, ry), 6) as spearman from r""")
 def _(t):
     train, test = t.txn_parts
-    a = train.groupBy("cc_num").agg(F.round(F.avg("amt"), 6).alias("x"))
-    b = test.groupBy("cc_num").agg(F.round(F.avg(F.col("is_fraud").cast("double")), 9).alias("y"))
-    return rounded(spearman(a.join(b, "cc_num"), "x", "y"))
+    rates = rate_persistence(train, test, "cc_num", "is_fraud")
+    return rounded(spearman(rates.withColumns({c: F.round(c, 9) for c in ("train_rate", "test_rate")}),
+                            "train_rate", "test_rate"))
 
 
 @query("hour_window_faithfulness", "I03 A29 J06 W07 P10 P20", sql="""

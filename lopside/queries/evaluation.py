@@ -271,16 +271,13 @@ def _(t):
     return top.select("true", "predicted", r6("share").alias("share"))
 
 
-@query("class_size_against_f1", "I07 A20 E04", sql="""
-  with r as (select source as label, count(*) as support,
-      avg(case when genre = pred then 1.0e0 else 0.0e0 end) as score from genre group by 1),
+@query("class_size_against_f1", "I07 A20 E04", sql=f"""with {REPORT},
   k as (select rank() over (order by support) + (count(*) over (partition by support) - 1) / 2.0e0 as a,
-    rank() over (order by round(score, 9)) + (count(*) over (partition by round(score, 9)) - 1) / 2.0e0 as b from r)
+    rank() over (order by round(f1, 9)) + (count(*) over (partition by round(f1, 9)) - 1) / 2.0e0 as b from report)
   select count(*) as n, round(corr(a, b), 6) as spearman from k""")
 def _(t):
-    hits = t.genre.groupBy("source").agg(
-        F.count("*").alias("support"), F.round(F.avg((F.col("genre") == F.col("pred")).cast("double")), 9).alias("score"))
-    return rounded(spearman(hits, "support", "score"))
+    report = C.class_report(t.genre, "genre", "pred").withColumn("f1", F.round("f1", 9))
+    return rounded(spearman(report, "support", "f1"))
 
 
 @query("money_summary", "E15 A26", sql="""

@@ -5,6 +5,8 @@ The counts-based naive Bayes has a closed form and an exact SQL check.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
@@ -20,7 +22,7 @@ from lopside.plans import compare, extras, training
 from lopside.plans.calibration import CalibratedSVC
 from lopside.plans.learners import (boosting, fit_tabular, forest, impurity_importance, logistic,
                                     score_tabular)
-from lopside.plans.stages import TextTfidf
+from lopside.plans.stages import ALL_TERMS, TextTfidf
 from lopside.queries.audits import FLAGGED
 from lopside.queries.registry import query, rounded
 from lopside.queries.texts import TOKENS, stop_words
@@ -46,7 +48,7 @@ def genre_parts(t, with_title: bool = True):
   tot as (select label, sum(c) as total from tr group by 1),
   pri as (select label, count(*) as n from flagged where not in_test group by 1),
   te as (select row_id, term, count(*) as tf from e where in_test and term in (select term from vocab) group by 1, 2),
-  cls as (select label, ln((n + 1) / ((select sum(n) from pri) + 2)) as prior, total + (select count(*) from vocab) as den
+  cls as (select label, ln(n / (select sum(n) from pri)) as prior, total + (select count(*) from vocab) as den
     from pri join tot using (label)),
   s as (select te.row_id, cls.label, sum(tf * (ln(coalesce(tr.c, 0) + 1) - ln(den))) as ll
     from te cross join cls left join tr on tr.term = te.term and tr.label = cls.label group by 1, 2)
@@ -56,12 +58,16 @@ def genre_parts(t, with_title: bool = True):
 def _(t):
     train, test = stratified_split(t.sms, "label", "row_id", 0.2)
     seen, unseen = (with_terms(p, "message") for p in (train, test))
-    counter = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=1 << 24).fit(seen)
+    counter = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=ALL_TERMS).fit(seen)
     data = counter.transform(seen).select("features", (F.col("label") == "spam").cast("double").alias("_y"))
     model = NaiveBayes(labelCol="_y", smoothing=1.0).fit(data)
     raw = vector_to_array("rawPrediction")
+    # The plain class share in place of Spark's smoothed one.
+    n = seen.groupBy().agg(F.sum((F.col("label") == "ham").cast("int")).alias("ham"),
+                           F.sum((F.col("label") == "spam").cast("int")).alias("spam")).first()
+    shift = {c: math.log(n[c] / (n["ham"] + n["spam"])) - float(model.pi[k]) for k, c in enumerate(("ham", "spam"))}
     return model.transform(counter.transform(unseen)).select(
-        "row_id", F.round(raw[0], 4).alias("ham"), F.round(raw[1], 4).alias("spam"))
+        "row_id", F.round(raw[0] + shift["ham"], 4).alias("ham"), F.round(raw[1] + shift["spam"], 4).alias("spam"))
 
 
 @query("fraud_learner_comparison", "M09 M02 M04 M06 C04 C06 C08 K01")

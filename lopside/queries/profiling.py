@@ -148,13 +148,14 @@ def _(t):
 
 
 @query("missing_values", "A13", sql="""
-  select (select 4 * count(*) - count(CustomerId) - count(Geography) - count(Balance) - count(Exited) from churn)
-      as in_churn,
-    (select 2 * count(*) - count(quality) - count(toxic) from documents left join labels using (doc_id))
-      as in_labelled_documents""")
-def _(t):
-    churn = P.null_counts(t.churn.select("CustomerId", "Geography", "Balance", "Exited"))
-    joined = t.read("documents").join(t.read("labels"), "doc_id", "left").select("doc_id", "quality", "toxic")
+  select (select 13 * count(*) - count(CustomerId) - count(Surname) - count(CreditScore) - count(Geography) - count(Gender)
+        - count(Age) - count(Tenure) - count(Balance) - count(NumOfProducts) - count(HasCrCard) - count(IsActiveMember)
+        - count(EstimatedSalary) - count(Exited) from churn) as in_churn,
+    (select 7 * count(*) - count(doc_id) - count(text) - count(lang) - count(source) - count(n_chars) - count(quality)
+        - count(toxic) from documents left join labels using (doc_id)) as in_labelled_documents""")
+def _(t):
+    churn = P.null_counts(t.churn)
+    joined = t.read("documents").join(t.read("labels"), "doc_id", "left")
     return churn.select(F.col("total_missing").alias("in_churn"),
                         P.null_counts(joined).select("total_missing").scalar().alias("in_labelled_documents"))
 
@@ -165,12 +166,16 @@ def _(t):
   union all
   select 'genre.description', count(*), count(distinct description), count(*) - count(distinct description) from genre
   union all
-  select 'txn without row id', count(*), (select count(*) from (select distinct cc_num, category, gender from txn)),
-    count(*) - (select count(*) from (select distinct cc_num, category, gender from txn)) from txn""")
+  select 'txn without row id', count(*), (select count(*) from (select distinct * exclude (row_id) from txn)),
+    count(*) - (select count(*) from (select distinct * exclude (row_id) from txn)) from txn
+  union all
+  select 'events by kind', count(*), (select count(*) from (select distinct user_id, event_type from events)),
+    count(*) - (select count(*) from (select distinct user_id, event_type from events)) from events""")
 def _(t):
     return union(P.duplicate_count(df, cols).select(F.lit(n).alias("name"), "*") for n, df, cols in (
         ("sms.message", t.sms, ["message"]), ("genre.description", t.genre, ["description"]),
-        ("txn without row id", t.txn, ["cc_num", "category", "gender"])))
+        ("txn without row id", t.txn, [c for c in t.txn.columns if c != "row_id"]),
+        ("events by kind", t.read("events"), ["user_id", "event_type"])))
 
 
 @query("duplicates_by_class", "A15", sql="""
@@ -182,10 +187,14 @@ def _(t):
 
 
 @query("conflicting_labels", "A16", sql="""
-  select md5(message) as message_md5, count(distinct label) as n_labels from sms
-  group by message having count(distinct label) > 1""")
+  select md5(message) as key, count(distinct label) as n_labels from sms group by message having count(distinct label) > 1
+  union all
+  select md5(cast(cc_num as varchar)), count(distinct category) from txn group by cc_num
+    having count(distinct category) > 1""")
 def _(t):
-    return P.conflicting_labels(t.sms, "message", "label").select(F.md5("message").alias("message_md5"), "n_labels")
+    messages = P.conflicting_labels(t.sms, "message", "label").select(F.md5("message").alias("key"), "n_labels")
+    cards = t.txn.select(F.col("cc_num").cast("string").alias("card"), "category")
+    return messages.unionByName(P.conflicting_labels(cards, "card", "category").select(F.md5("card").alias("key"), "n_labels"))
 
 
 @query("first_messages", "W01", sql="select row_id, label, md5(message) as message_md5 from sms_unique")

@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 from lopside.functions import text as X
 from lopside.operators import tfidf as V
 from lopside.operators.splits import stratified_split
-from lopside.plans.stages import english_stop_words
 from lopside.queries.audits import FLAGGED
 from lopside.queries.registry import query, r6, rounded
 from lopside.sources.readers import message_lines, overflow_rows, repair_overflow
 
-STOP = english_stop_words
-TOKENS = "regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{M}}\\p{{N}}_]{{2,}}')"
+TOKENS = "regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
 
 
 def sql_list(values) -> str:

@@ -208,9 +208,11 @@ def _(t):
 
 
 @query("hour_results_json", "S12 P15", sql="""
-  select row_id, concat('{"hour":', hour, ',"decision":"', case when score >= 0.19e0 then 'block' else 'approve' end,
-    '"}') as json from feat""")
+  select row_id, 'hour,fraud_probability,decision' as fields, hour, round_even(score, 4) as fraud_probability,
+    case when score >= 0.19e0 then 'block' else 'approve' end as decision from feat""")
 def _(t):
     from lopside.sources.sinks import hour_result
-    result = hour_result(F.col("score"), 0.19).dropFields("fraud_probability")
-    return t.features.select("row_id", F.to_json(result).alias("json"))
+    result = t.features.select("row_id", F.to_json(hour_result(F.col("score"), 0.19)).alias("json"))
+    read = F.from_json("json", "hour int, fraud_probability double, decision string")
+    return result.select("row_id", F.array_join(F.json_object_keys("json"), ",").alias("fields"), read.alias("r")).select(
+        "row_id", "fields", "r.*")

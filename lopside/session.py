@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,6 +16,7 @@ def build_session(app: str = "lopside", master: str | None = None, **conf) -> Sp
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -32,17 +31,11 @@ def build_session(app: str = "lopside", master: str | None = None, **conf) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session, where all executors are threads of this machine, may
-    fall back to a temporary folder.
-    """
+    """The folder every executor can reach, named by ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="lopside-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -59,5 +52,5 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def buckets_for(spark: SparkSession) -> int:
-    """How many value ranges to cut a sorted pass into."""
-    return max(2, min(4096, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """How many ranges a sorted pass of moderate size is cut into; large ones go by their rows."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -68,6 +68,22 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType = DOCUME
     return lines.select(parts.alias("_parts")).select(*columns)
 
 
+def malformed_lines(spark: SparkSession, path: str, schema: T.StructType = DOCUMENTS,
+                    sep: str = " ::: ") -> DataFrame:
+    """How many lines there are, and how many lack a column or hold a value of another type.
+
+    ``read_delimited`` gives such lines nulls; a load should check this count first.
+    """
+    lines = require(lambda: spark.read.text(path), path)
+    parts = F.split("value", sep.replace("|", r"\|"), len(schema))
+    wrong = F.size("_parts") < len(schema)
+    for i, field in enumerate(schema.fields):
+        part = F.try_element_at(F.col("_parts"), F.lit(i + 1))
+        wrong = wrong | (part.isNotNull() & part.try_cast(field.dataType).isNull())
+    return lines.select(parts.alias("_parts")).agg(
+        F.count("*").alias("n_lines"), F.coalesce(F.sum(wrong.cast("bigint")), F.lit(0)).alias("n_malformed"))
+
+
 def parse_timestamp(c: Column) -> Column:
     return F.to_timestamp_ntz(c, F.lit("yyyy-MM-dd HH:mm:ss"))
 
@@ -93,7 +109,14 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_churn(spark: SparkSession, path: str, drop_identifiers: bool = True) -> DataFrame:
-    raw = require(lambda: spark.read.schema(CHURN).csv(path, header=True), path)
+    """Columns are found by their names; a file with another header than the first is an error."""
+    header = require(lambda: spark.read.option("header", True).csv(path), path).columns
+    missing = [f.name for f in CHURN.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    types = {f.name: f.dataType for f in CHURN.fields}
+    schema = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
+    raw = spark.read.schema(schema).csv(path, header=True, enforceSchema=False).select(*types)
     return raw.drop(*CHURN_IDENTIFIERS) if drop_identifiers else raw
 
 

@@ -368,3 +368,62 @@ def test_every_listed_operator_has_a_query():
         listed = set(re.findall(r"^\| ([A-Z]\d\d) \|", table.read(), re.M))
     assert len(listed) == 195
     assert listed == {i for ids in COVERS.values() for i in ids.split()}
+
+
+# ---- rows without a value, and narrow groups -----------------------------------------
+
+def scored_rows(spark):
+    rows = [(1, 0.5), (0, None), (1, 0.2), (0, float("nan")), (None, 0.9), (0, 0.4), (0, 0.1)]
+    return spark.createDataFrame(rows, "y int, p double")
+
+
+def test_rankings_and_sweeps_leave_out_rows_without_score_or_label(spark):
+    from lopside.operators.ranking import rank_metrics, ranking_points
+    from lopside.operators.thresholds import sweep_counts
+    got = rank_metrics(ranking_points(scored_rows(spark), "y", "p")).first()
+    assert abs(got.roc_auc - 0.75) < 1e-12 and abs(got.average_precision - (0.5 + 0.5 * 2 / 3)) < 1e-12
+    sweep = sweep_counts(scored_rows(spark), "y", "p", thresholds=[0.3]).first()
+    assert (sweep.tp, sweep.fp, sweep.positives, sweep.negatives) == (1, 1, 2, 2)
+    empty = scored_rows(spark).withColumn("p", F.lit(None).cast("double"))
+    assert ranking_points(empty, "y", "p").count() == 0
+
+
+def test_ranks_skip_missing_values(spark):
+    from lopside.operators.sorted_passes import average_ranks
+    got = {r.p: r.avg_rank for r in average_ranks(scored_rows(spark).select("p"), "p").collect()}
+    assert got == {0.1: 1, 0.2: 2, 0.4: 3, 0.5: 4, 0.9: 5}
+
+
+def test_a_narrow_group_uses_many_buckets(spark):
+    from lopside.operators.sorted_passes import BUCKET, exact_quantiles, range_buckets, running_totals
+    wide = spark.range(1000).selectExpr("'wide' as g", "cast(id * 1000 as double) as v", "1L as n")
+    narrow = spark.range(9000).selectExpr("cast(null as string) as g", "1 + id / 1e6 as v", "1L as n")
+    both = wide.union(narrow)
+    placed = range_buckets(both, ["g", "v"], rows_per_bucket=500)
+    assert placed.filter("g is null").select(BUCKET).distinct().count() >= 15
+    got = running_totals(both, "v", ["n"], ["g"], rows_per_bucket=500)
+    bad = got.filter("cum_n <> case when g is null then round((v - 1) * 1e6) + 1 else v / 1000 + 1 end")
+    assert bad.count() == 0 and got.count() == 10_000
+    medians = {r.g: r.value for r in exact_quantiles(both, ["v"], [0.5], ["g"]).collect()}
+    assert medians["wide"] == 499500 and abs(medians[None] - 1.0044995) < 1e-9
+
+
+def test_a_column_without_values_has_no_default(spark):
+    from lopside.operators.profile import dataset_defaults, fill_defaults
+    df = spark.createDataFrame([(1.0, None, "a"), (None, None, None)], "x double, y double, c string")
+    got = fill_defaults(df, dataset_defaults(df, ["x", "y"], ["c"]), ["x", "y", "c"]).collect()
+    assert [tuple(r) for r in got] == [(1.0, None, "a"), (1.0, None, "a")]
+
+
+def test_tokens_and_accents_are_those_of_python(spark):
+    import re
+    import unicodedata
+
+    from lopside.functions.text import strip_accents, word_tokens
+    texts = ["Café déjà x² ½½ नमस्ते שָׁלוֹם ﬁne が ＡＢ１ plain_1 ok", "only ascii", ""]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = df.select(word_tokens(F.col("t")).alias("w"), strip_accents(F.col("t")).alias("s")).collect()
+    for text, row in zip(texts, got):
+        assert row.w == re.findall(r"\b\w\w+\b", text.lower())
+        assert row.s == "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    assert got[-1].s is None

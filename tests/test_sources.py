@@ -79,3 +79,27 @@ def test_json_results(spark, tmp_path):
 def test_missing_bundle(spark, tmp_path):
     with pytest.raises(S.InputMissing, match="train it first"):
         sinks.load_bundle(spark, str(tmp_path / "none"))
+
+
+def test_churn_columns_are_found_by_name(spark, tmp_path):
+    from lopside.sources.readers import CHURN, read_churn
+    names = [f.name for f in CHURN.fields]
+    values = dict(zip(names, "1 15 Smith 650 France Female 40 3 0.5 1 1 0 99.5 1".split()))
+    for k, order in enumerate((names, names[::-1])):
+        folder = tmp_path / str(k)
+        folder.mkdir()
+        (folder / "a.csv").write_text(",".join(order) + "\n" + ",".join(values[n] for n in order) + "\n")
+        row = read_churn(spark, str(folder), drop_identifiers=False).first()
+        assert (row.CreditScore, row.Geography, row.EstimatedSalary) == (650, "France", 99.5)
+    (tmp_path / "0" / "b.csv").write_text(",".join(names[::-1]) + "\n")
+    with pytest.raises(Exception):
+        read_churn(spark, str(tmp_path / "0")).collect()
+    (tmp_path / "c.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="Geography"):
+        read_churn(spark, str(tmp_path / "c.csv"))
+
+
+def test_malformed_lines_are_counted(spark, tmp_path):
+    from lopside.sources.readers import malformed_lines
+    (tmp_path / "a.txt").write_text("1 ::: t ::: g ::: d\nx ::: t ::: g ::: d\n2 ::: t\n3 ::: t ::: g ::: d ::: more\n")
+    assert tuple(malformed_lines(spark, str(tmp_path / "a.txt")).first()) == (4, 2)
