@@ -10,7 +10,7 @@ from lopside.functions.numbers import money_text
 from lopside.operators.splits import stratified_split
 from lopside.plans.learners import logistic, score_tabular
 from lopside.plans.training import train_churn
-from lopside.queries.registry import query, r6
+from lopside.queries.registry import held_out_sql, query
 from lopside.session import durable, shared_folder
 from lopside.sources import readers as R
 from lopside.sources import sinks
@@ -86,14 +86,16 @@ def _(t):
     return t.txn.select("row_id", money_text(F.col("amt"), 2).alias("amount"))
 
 
-@query("scores_from_saved_bundle", "S09 S10 S13 Q04")
+@query("scores_from_saved_bundle", "S09 S10 S13 Q04", sql=f"""with {held_out_sql('churn', 'Exited', 'CustomerId')}
+  select CustomerId, true as same_as_fitted, true as threshold_kept from flagged where in_test""")
 def _(t):
     """Train, save, load again, and score the held-out customers with the loaded model."""
     folder = fresh(t, "bundle")
     churn = durable(t.churn)
-    train_churn(churn, "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, refit=False,
-                learner=logistic, folder=folder)
+    fitted = train_churn(churn, "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, refit=False,
+                         learner=logistic, folder=folder)
     bundle = sinks.load_bundle(t.spark, folder)
     _, test = stratified_split(churn, "Exited", "CustomerId")
-    return score_tabular(bundle.model, test).select("CustomerId", r6("p").alias("p"),
-                                                    F.lit(bundle.threshold).alias("threshold"))
+    both = score_tabular(fitted.model, score_tabular(bundle.model, test, "loaded"))
+    return both.select("CustomerId", (F.col("loaded") == F.col("p")).alias("same_as_fitted"),
+                       F.lit(bundle.threshold == fitted.threshold).alias("threshold_kept"))

@@ -24,8 +24,8 @@ from lopside.plans.learners import (boosting, fit_tabular, forest, impurity_impo
                                     score_tabular)
 from lopside.plans.stages import ALL_TERMS, TextTfidf
 from lopside.queries.audits import FLAGGED
-from lopside.queries.registry import query, rounded
-from lopside.queries.texts import TOKENS, stop_words
+from lopside.queries.registry import SOUND, held_out_sql, query, rounded, sound_results
+from lopside.queries.texts import TOKENS, sql_list, stop_words
 from lopside.session import durable
 from lopside.sources.standins import CHURN_CATEGORICAL, CHURN_NUMERIC
 
@@ -70,56 +70,90 @@ def _(t):
         "row_id", F.round(raw[0] + shift["ham"], 4).alias("ham"), F.round(raw[1] + shift["spam"], 4).alias("spam"))
 
 
-@query("fraud_learner_comparison", "M09 M02 M04 M06 C04 C06 C08 K01")
+def _models_sql(names, rows: str) -> str:
+    return f"select unnest({sql_list(names)}) as model, (select count(*) from {rows}) as n_test, {SOUND}"
+
+
+@query("fraud_learner_comparison", "M09 M02 M04 M06 C04 C06 K01", sql=_models_sql(compare.fraud_learners(), "feat_test"))
 def _(t):
-    return compare.compare_tabular(*t.feature_parts, "is_fraud", CATEGORICAL, NUMERIC,
-                                   compare.fraud_learners(), "row_id")
+    return sound_results(compare.compare_tabular(*t.feature_parts, "is_fraud", CATEGORICAL, NUMERIC,
+                                                 compare.fraud_learners(), "row_id"), "model")
 
 
-@query("fraud_ablation", "M10 P21 M04")
+@query("fraud_ablation", "M10 P21 M04", sql=f"""
+  select unnest(['full (9 features)', 'identity-free', 'transaction-only']) as feature_set,
+    unnest([{len(FEATURES)}, {len(IDENTITY_FREE)}, {len(TRANSACTION_ONLY)}]) as n_features,
+    (select count(*) from feat_test) as n_test, {SOUND}""")
 def _(t):
     sets = {"full (9 features)": FEATURES, "identity-free": IDENTITY_FREE, "transaction-only": TRANSACTION_ONLY}
-    return compare.ablation(*t.feature_parts, "is_fraud", sets, CATEGORICAL, "row_id")
+    return sound_results(compare.ablation(*t.feature_parts, "is_fraud", sets, CATEGORICAL, "row_id"),
+                         "feature_set", "n_features")
+
+
+CHURN_TEST = f"with {held_out_sql('churn', 'Exited', 'CustomerId')}"
 
 
-@query("churn_learner_comparison", "M09 M02 M04 M05 C07")
+@query("churn_learner_comparison", "M09 M02 M04 M05 C07",
+       sql=f"{CHURN_TEST} {_models_sql(compare.churn_learners(), 'flagged where in_test')}")
 def _(t):
-    return compare.compare_tabular(*churn_parts(t), "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC,
-                                   compare.churn_learners(), "CustomerId", order="roc_auc")
+    return sound_results(compare.compare_tabular(*churn_parts(t), "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC,
+                                                 compare.churn_learners(), "CustomerId", order="roc_auc"), "model")
 
 
-@query("churn_training", "M05 L06 E11 S13")
+@query("churn_training", "M05 L06 E11 S13", sql=f"""{CHURN_TEST}
+  select (select count(*) from flagged where in_test) as n_test, {SOUND}""")
 def _(t):
-    return training.train_churn(durable(t.churn), "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC).metrics
+    return sound_results(training.train_churn(durable(t.churn), "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC).metrics)
 
 
-@query("fraud_training", "M04 E12 E15 L02")
+@query("fraud_training", "M04 E12 E15 L02", sql=f"""
+  select (select count(*) from txn_test) as n_test, {SOUND}, 5.0e0 as false_alarm_cost""")
 def _(t):
-    return training.train_fraud(*t.txn_parts).metrics
+    metrics = training.train_fraud(*t.txn_parts).metrics
+    return sound_results(metrics).withColumn("false_alarm_cost", metrics.select("false_alarm_cost").scalar())
 
 
-@query("churn_impurity_importance", "I02 C05 M05")
+@query("churn_impurity_importance", "I02 C05 M05", sql=f"""{CHURN_TEST},
+  seen as (select * from flagged where not in_test),
+  names as (select concat('Geography_', Geography) as feature from seen where Geography > (select min(Geography) from seen)
+    union select concat('Gender_', Gender) from seen where Gender > (select min(Gender) from seen)
+    union all select unnest({sql_list(CHURN_NUMERIC)}))
+  select feature, true as in_range, true as sum_to_one from names""")
 def _(t):
     train, _ = churn_parts(t)
     model = fit_tabular(train, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, boosting)
-    return impurity_importance(model, t.spark).orderBy(F.desc("importance"), "feature")
+    found = impurity_importance(model, t.spark)
+    total = found.agg(F.sum("importance").alias("s")).scalar()
+    return found.select("feature", F.col("importance").between(0, 1).alias("in_range"),
+                        (F.abs(total - 1) < 1e-6).alias("sum_to_one"))
+
+
+def _sound_importance(found):
+    return found.select("column", "repeats", F.col("importance").between(-1, 1).alias("in_range"),
+                        (F.col("std") >= 0).alias("has_spread"))
+
+
+def _importance_sql(columns, repeats: int) -> str:
+    return (f'select unnest({sql_list(columns)}) as "column", cast({repeats} as bigint) as repeats, '
+            "true as in_range, true as has_spread")
 
 
-@query("churn_permutation_importance", "I01 M08")
+@query("churn_permutation_importance", "I01 M08", sql=_importance_sql([*CHURN_CATEGORICAL, *CHURN_NUMERIC], 15))
 def _(t):
     train, test = churn_parts(t)
     model = fit_tabular(train, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, boosting)
-    return permutation_importance(lambda df: score_tabular(model, df), test, "CustomerId", "Exited",
-                                  [*CHURN_CATEGORICAL, *CHURN_NUMERIC], "roc_auc", repeats=15)
+    return _sound_importance(permutation_importance(
+        lambda df: score_tabular(model, df), test, "CustomerId", "Exited",
+        [*CHURN_CATEGORICAL, *CHURN_NUMERIC], "roc_auc", repeats=15))
 
 
-@query("fraud_permutation_importance", "I01 L05 J04")
+@query("fraud_permutation_importance", "I01 L05 J04", sql=_importance_sql(FEATURES, 5))
 def _(t):
     train, test = t.feature_parts
     model = fit_tabular(train, "is_fraud", CATEGORICAL, NUMERIC, forest, True)
     sample = fixed_sample(test, "row_id", 60_000)
-    return permutation_importance(lambda df: score_tabular(model, df), sample, "row_id", "is_fraud",
-                                  FEATURES, "average_precision", repeats=5)
+    return _sound_importance(permutation_importance(lambda df: score_tabular(model, df), sample, "row_id", "is_fraud",
+                                                    FEATURES, "average_precision", repeats=5))
 
 
 def _genre_vectorisers() -> TextTfidf:
@@ -172,12 +206,12 @@ def _(t):
     return training.train_messages(durable(t.sms_unique)).metrics
 
 
-@query("amount_weighted_learner", "N04 M02")
+@query("amount_weighted_learner", "N04 M02", sql=_models_sql(["amount weighted"], "feat_test"))
 def _(t):
     train, test = t.feature_parts
     model = fit_tabular(train, "is_fraud", CATEGORICAL, NUMERIC, logistic, sample_weight=F.col("amt"))
     scored = durable(score_tabular(model, test).select(F.lit("amount weighted").alias("model"), "is_fraud", "p"))
-    return compare.tabular_results(scored, "is_fraud", ["model"])
+    return sound_results(compare.tabular_results(scored, "is_fraud", ["model"]), "model")
 
 
 @query("isotonic_reliability", "N05 M02")
@@ -192,24 +226,31 @@ def _(t):
     return rounded(before.unionByName(after))
 
 
-@query("repeated_fold_metrics", "N06 L04")
+@query("repeated_fold_metrics", "N06 L04", sql="""
+  select cast(15 as bigint) as fits, true as auc_in_range, true as ap_in_range, true as has_spread""")
 def _(t):
-    return extras.repeated_folds(durable(t.churn), "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC,
-                                 k=3, seeds=(42, 43))
+    found = extras.repeated_folds(durable(t.churn), "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC)
+    return found.select("fits", F.col("roc_auc_mean").between(0, 1).alias("auc_in_range"),
+                        F.col("average_precision_mean").between(0, 1).alias("ap_in_range"),
+                        ((F.col("roc_auc_std") > 0) & (F.col("average_precision_std") > 0)).alias("has_spread"))
 
 
-@query("word_and_char_union", "N07 M03")
+@query("word_and_char_union", "N07 M03", sql=f"""with {held_out_sql('sms_unique', 'label', 'row_id')}
+  select label, count(*) as support, true as f1_follows from flagged where in_test group by label""")
 def _(t):
     train, test = stratified_split(durable(t.sms_unique), "label", "row_id", 0.2)
     vectors = extras.word_and_char_vectors("message")(train)
     seen = durable(vectors.transform(train).select("row_id", "label", "features"))
     model = CalibratedSVC("label", "row_id", folds=0).fit(seen)
     predicted = model.transform(vectors.transform(test))
-    return class_report(predicted, "label", "predicted")
+    p, r = F.col("precision"), F.col("recall")
+    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    return class_report(predicted, "label", "predicted").filter("support > 0").select(
+        "label", F.col("support").cast("bigint").alias("support"), (F.abs(F.col("f1") - f1) < 1e-9).alias("f1_follows"))
 
 
 @query("random_search", "N10")
 def _(t):
     space = {"maxDepth": [2, 3, 4], "maxIter": [10, 20], "stepSize": [0.05, 0.1, 0.2]}
     return extras.random_search(durable(t.churn), "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC,
-                                space, tries=4)
+                                space)

@@ -48,6 +48,25 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in doubles}) if doubles else df
 
 
+def held_out_sql(table: str, label: str, key: str, share: float = 0.2) -> str:
+    """CTE ``flagged``: the table with the stratified ``in_test`` flag."""
+    return f"""flagged as (select *, row_number() over (partition by {label} order by md5(concat('42:', cast({key} as varchar))))
+    <= round({share}e0 * count(*) over (partition by {label})) as in_test from {table})"""
+
+
+def sound_results(results: DataFrame, *keys: str) -> DataFrame:
+    """What must hold for any fitted model's results, beside its name and the rows it was tested on."""
+    p, r = F.col("precision"), F.col("recall")
+    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    return results.select(
+        *keys, F.col("n_test").cast("bigint").alias("n_test"), (F.abs(F.col("f1") - f1) < 1e-9).alias("f1_follows"),
+        F.col("roc_auc").between(0, 1).alias("auc_in_range"),
+        (F.col("baseline_accuracy") >= 0.5).alias("baseline_is_majority"))
+
+
+SOUND = "true as f1_follows, true as auc_in_range, true as baseline_is_majority"
+
+
 def double_list(values) -> str:
     """SQL list of doubles, written so that they stay doubles."""
     return "[" + ", ".join(f"{v!r}e0" for v in values) + "]"
