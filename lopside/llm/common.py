@@ -113,6 +113,17 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """The hash of the ``size`` bytes from every place on, as ``span_hashes`` gives it."""
+    n = len(data) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
+    return mixed((sums[size:] - sums[:n]) * down[:n] + np.uint64(size))
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text number of each run of bytes other than ASCII white space."""
     inside = ~_IS_SPACE[data]

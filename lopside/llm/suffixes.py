@@ -17,19 +17,22 @@ import numpy as np
 SWEEP_SYMBOLS = 1024
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes of an array of non-negative integers, in lexicographic order."""
+def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Starts of the suffixes of an array of non-negative integers, in lexicographic order.
+
+    With ``depth``, suffixes that agree in so many symbols may stand in any order among themselves.
+    """
     text = np.append(text.astype(np.int64) + 1, 0)  # a least symbol of its own at the end
-    return _sorted(text)[1:]
+    return _sorted(text, depth)[1:]
 
 
-def _sorted(text: np.ndarray) -> np.ndarray:
+def _sorted(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     n = len(text)
     if n <= 2:
         return np.arange(n)[::-1].copy()
     symbols = int(text.max()) + 1
     if symbols > SWEEP_SYMBOLS:
-        return doubling(text)
+        return doubling(text, depth)
     smaller = _smaller(text)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     if not len(lms):
@@ -40,7 +43,8 @@ def _sorted(text: np.ndarray) -> np.ndarray:
     order = order[is_lms[order]]
     names = _names(text, smaller, lms, order)
     if names.max() + 1 < len(lms):
-        order = lms[_sorted(names)]
+        # LMS places are two symbols apart at least.
+        order = lms[_sorted(names, None if depth is None else depth // 2 + 2)]
     return _induced(text, smaller, order, symbols)
 
 
@@ -122,8 +126,8 @@ def _names(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, order: np.nda
     return rank
 
 
-def doubling(text: np.ndarray) -> np.ndarray:
-    """Ranks by prefixes of 1, 2, 4, ... symbols, until all differ."""
+def doubling(text: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Ranks by prefixes of 1, 2, 4, ... symbols, until all differ (or the prefixes reach ``depth``)."""
     n = len(text)
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
     step = 1
@@ -135,9 +139,9 @@ def doubling(text: np.ndarray) -> np.ndarray:
         new = np.append(0, np.cumsum(key[order][1:] != key[order][:-1]))
         rank = np.empty(n, np.int64)
         rank[order] = new
-        if new[-1] == n - 1:
-            return order
         step *= 2
+        if new[-1] == n - 1 or (depth is not None and step >= depth):
+            return order
 
 
 def permuted_prefixes(data: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:

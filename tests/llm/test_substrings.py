@@ -56,7 +56,7 @@ def test_against_brute_force(spark):
     rows += [(200, None), (201, ""), (202, "x" * 99), (203, "x" * 100), (204, "y" * 5000), (None, shared[0]), (205, rows[1][1]), (3, rows[3][1]),
              (206, "ab" * 3000 + shared[1])]
     df = spark.createDataFrame([(*r, b"z", 1) for r in rows], "doc_id long, text string, kept binary, anchor int").repartition(4)
-    made = substrings.dedup(df)
+    made = substrings.dedup(df, docs_per_part=20)
     assert {"anchor", "text", "kept"} <= set(made.columns)
     got = {(r.doc_id, (r.text or "").encode()): (r.n_bytes, sum(s.end - s.start for s in r.removed), len(r.removed),
                                                  hashlib.sha256(r.kept).hexdigest()) for r in made.collect()}
