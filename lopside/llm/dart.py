@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ from lopside.llm.decontaminate import _passes, bloom
 from lopside.llm.graph import components, relabelled
 
 WORDS, BANDS, ROWS = 5, 20, 4
-SMALL_BUCKET = 64
+SMALL_BUCKET = 16
+BLOCK_NODES, BLOCK_BYTES = 256, 4 << 20
 _STEP = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -178,37 +180,68 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def linked(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(node, label) of all nodes with a link, from the bands' members (key, node).
 
-    First each member meets the least node of its band. Of the members still waiting, those of
-    bands that hold more than one component go on: small bands compare all pairs of different
-    components, large ones all members with a few more nodes, each round with more of them. No pair
-    that shares a band is left out, except pairs already joined by other links.
+    First each member meets the least node of its band. Of the bands that then still hold more than
+    one component, small ones compare all pairs of different components. The members of large ones
+    are put together where bands overlap and compared block against block, each pair once and without
+    a row for each pair. So no pair that shares a band is left out, but for those already joined.
     """
     pivots = members.groupBy("key").agg(F.min("node").alias("a"))
-    waiting = members.join(pivots, "key").filter("node <> a")
+    waiting = stored(members.join(pivots, "key").filter("node <> a"))
     links = stored(similar(stored(waiting.select("a", F.col("node").alias("b")).distinct()), sets, threshold))
     labels = stored(components(links))
-    waiting, at_once, turn = waiting.select("key", "node"), 8, 0
-    while True:
-        turn += 1
-        now = waiting.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-        now = stored(now)
-        open_keys = stored(now.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
-                           .filter("least <> most").select("key", "n"))
-        if open_keys.isEmpty():
-            return labels
-        now = stored(now.join(open_keys, "key"))
-        other = now.select("key", F.col("node").alias("a"), F.col("label").alias("_label"), F.col("n").alias("_n"))
-        small = now.filter(F.col("n") <= SMALL_BUCKET)
-        pairs = small.join(other, "key").filter("a < node and _label <> label").select("a", F.col("node").alias("b"))
-        drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 40)) * F.col("n") < F.lit(at_once << 40)
-        large = now.filter(F.col("n") > SMALL_BUCKET).withColumn("drawn", drawn)
-        first = large.filter("drawn").select("key", F.col("node").alias("a"), F.col("label").alias("_label"))
-        pairs = pairs.union(large.join(first, "key").filter("a <> node and _label <> label")
-                            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
-        links = stored(similar(stored(pairs.distinct()), sets, threshold))
-        if not links.isEmpty():
-            labels = relabelled(labels, links)
-        waiting, at_once = large.filter("not drawn").select("key", "node"), at_once * 4
+    now = stored(waiting.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
+    open_keys = (now.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
+                 .filter("least <> most").select("key", "n"))
+    now = stored(now.join(open_keys, "key"))
+    small = now.filter(F.col("n") <= SMALL_BUCKET).drop("n")
+    other = small.select("key", F.col("node").alias("a"), F.col("label").alias("_label"))
+    pairs = small.join(other, "key").filter("a < node and _label <> label").select("a", F.col("node").alias("b"))
+    links = similar(stored(pairs.distinct()), sets, threshold)
+    links = stored(links.union(linked_in_blocks(now.filter(F.col("n") > SMALL_BUCKET), sets, threshold)))
+    return labels if links.isEmpty() else relabelled(labels, links)
+
+
+def linked_in_blocks(large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The similar pairs (a, b) of different labels among nodes of bands (key, node, label) that overlap."""
+    hubs = large.groupBy("key").agg(F.min("node").alias("a"))
+    together = components(large.join(hubs, "key").select("a", F.col("node").alias("b")).distinct())
+    nodes = stored(large.select("node", "label").distinct().join(together.select("node", F.col("label").alias("area")), "node")
+                   .join(sets.select("node", F.length("items").alias("size")), "node"))
+    areas = (nodes.groupBy("area").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("label").alias("least"),
+                                       F.max("label").alias("most")).filter("least <> most")
+             .select("area", F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("bytes") / BLOCK_BYTES)).alias("blocks")))
+    placed = nodes.join(areas, "area").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    copies = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    copies = copies.select("node", "label", "area", "block", F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"))
+    rows = copies.join(sets, "node").repartition("area", "low", "high").sortWithinPartitions("area", "low", "high", "node")
+
+    def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
+        node, label, block = (np.array([g[k] for g in group], np.int64) for k in range(3))
+        size = np.array([len(g[3]) // 8 for g in group])
+        _, item, often = np.unique(np.frombuffer(b"".join(g[3] for g in group), np.uint64), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(group)), size)
+        useful = often[item] > 1
+        _, item = np.unique(item[useful], return_inverse=True)
+        held = np.zeros((len(group), int(item.max()) + 1 if len(item) else 1), np.float32)
+        held[owner[useful], item] = 1
+        common = held @ held.T
+        hit = common >= threshold * (size[:, None] + size[None, :] - common)
+        hit &= label[:, None] != label[None, :]
+        if block.min() != block.max():
+            hit &= block[:, None] != block[None, :]  # pairs within a block have a group of their own
+        a, b = np.nonzero(np.triu(hit, 1))
+        yield from zip(node[a].tolist(), node[b].tolist())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = ("area", "low", "high", "node", "label", "block", "items")
+        every = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in order)))
+        for _, group in groupby(every, key=lambda row: row[:3]):
+            group = [row[3:] for row in group]
+            found = list(compare(group)) if len({row[1] for row in group}) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
