@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lopside.llm.common import flat_bytes, gram_hashes, mixed, small_batches, span_hashes, stored, text_bytes, text_slices
+from lopside.llm.common import flat_bytes, gram_hashes, mixed, small_batches, span_hashes, text_bytes, text_slices
 from lopside.llm.decontaminate import row_key
 from lopside.llm.suffixes import permuted_prefixes, suffix_array
 
@@ -237,10 +237,15 @@ def shard_repeats(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, size: n
 
 
 def shard_spans(table: DataFrame, parts: int, at_once: int = 1 << 20) -> DataFrame:
-    """The segments' repeated spans, as payloads by document (kind 1)."""
+    """Repeated spans as payloads by document (kind 1): those at hand, and those of the segments (kind 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_part(batches):
-            got = [_unpacked(p, np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint8) for _, p in rows]
+        for part, rows in _by_part(batches):
+            settled = [(1, part, payload) for kind, payload in rows if kind == 1]
+            if settled:
+                yield _batch(settled)
+            got = [_unpacked(p, np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint8) for kind, p in rows if kind == 0]
+            if not got:
+                continue
             ids, keys, start, size, anchor, data = (np.concatenate(c) for c in zip(*got))
             begin = np.cumsum(size) - size
             early, again = firsts(identity(data, begin, begin + size), ids, keys, start)
@@ -263,8 +268,7 @@ def shard_spans(table: DataFrame, parts: int, at_once: int = 1 << 20) -> DataFra
             if len(at):
                 yield _batch([(1, *blob) for blob in out])
 
-    return (table.filter("kind = 0").repartition("part").sortWithinPartitions("part")
-            .mapInArrow(run, PARTED))
+    return table.repartition("part").sortWithinPartitions("part").mapInArrow(run, PARTED)
 
 
 def dedup(docs: DataFrame, docs_per_part: int = 1000) -> DataFrame:
@@ -280,8 +284,7 @@ def dedup(docs: DataFrame, docs_per_part: int = 1000) -> DataFrame:
     docs = row_key(docs.drop("n_bytes", "removed", "kept"))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "_key", text_bytes(docs).alias("_text"))
     parts = max(64, docs.count() // docs_per_part)
-    table = stored(candidates(rows, repeated_anchors(rows), parts))
-    spans = table.filter("kind = 1").union(shard_spans(table, parts))
+    spans = shard_spans(candidates(rows, repeated_anchors(rows), parts), parts)
     names = [c for c in docs.columns if c != "_key"]
     given = docs.select(F.pmod("_key", F.lit(parts)).alias("part"), F.lit(2).alias("kind"), F.lit(None).cast("binary").alias("payload"),
                         docs["doc_id"].cast("long").alias("_id"), "_key", text_bytes(docs).alias("_text"), F.struct(*names).alias("_row"))
