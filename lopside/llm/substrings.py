@@ -287,7 +287,7 @@ def dedup(docs: DataFrame, docs_per_part: int = 1000) -> DataFrame:
     spans = shard_spans(candidates(rows, repeated_anchors(rows), parts), parts)
     names = [c for c in docs.columns if c != "_key"]
     given = docs.select(F.pmod("_key", F.lit(parts)).alias("part"), F.lit(2).alias("kind"), F.lit(None).cast("binary").alias("payload"),
-                        docs["doc_id"].cast("long").alias("_id"), "_key", text_bytes(docs).alias("_text"), F.struct(*names).alias("_row"))
+                        docs["doc_id"].cast("long").alias("_id"), "_key", F.struct(*names).alias("_row"))
     both = given.unionByName(spans, allowMissingColumns=True).repartition("part").sortWithinPartitions("part", "kind")
     fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
     return both.mapInArrow(_cut(names), f"{fields}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
@@ -309,30 +309,31 @@ def _cut(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, payloads, spans = None, [], None
         pair = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for whole in batches:
-            for batch in text_slices(iter([whole.set_column(whole.schema.names.index("_text"), "_text", whole.column("_text").fill_null(b""))]), "_text"):
-                size, removed, kept, at = [], [], [], []
-                for k, (own, kind, payload, doc_id, key, text) in enumerate(zip(
-                        *(batch.column(c).to_pylist() for c in ("part", "kind", "payload", "_id", "_key", "_text")))):
-                    if own != part:
-                        part, payloads, spans = own, [], None
-                    if kind == 1:
-                        payloads.append(payload)
-                        continue
-                    if spans is None:
-                        spans, payloads = spans_of(payloads), []
-                    runs, parts, done = spans.get((NONE_LAST if doc_id is None else doc_id, key), ()), [], 0
-                    for a, b in runs:
-                        parts.append(text[done:a])
-                        done = b
-                    at.append(k)
-                    size.append(len(text))
-                    removed.append([{"start": a, "end": b} for a, b in runs])
-                    kept.append(b"".join([*parts, text[done:]]))
-                if at:
-                    rows = batch.column("_row").take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays([*(rows.field(n) for n in names), pa.array(size, pa.int64()), pa.array(removed, pair),
-                                                      pa.array(kept, pa.binary())], names=[*names, "n_bytes", "removed", "kept"])
+        for batch in batches:
+            size, removed, kept, at = [], [], [], []
+            texts = batch.column("_row").field("text").cast(pa.string()).cast(pa.binary()).to_pylist()
+            for k, (own, kind, payload, doc_id, key) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in ("part", "kind", "payload", "_id", "_key")))):
+                if own != part:
+                    part, payloads, spans = own, [], None
+                if kind == 1:
+                    payloads.append(payload)
+                    continue
+                if spans is None:
+                    spans, payloads = spans_of(payloads), []
+                text = texts[k] or b""
+                runs, parts, done = spans.get((NONE_LAST if doc_id is None else doc_id, key), ()), [], 0
+                for a, b in runs:
+                    parts.append(text[done:a])
+                    done = b
+                at.append(k)
+                size.append(len(text))
+                removed.append([{"start": a, "end": b} for a, b in runs])
+                kept.append(b"".join([*parts, text[done:]]))
+            if at:
+                rows = batch.column("_row").take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*(rows.field(n) for n in names), pa.array(size, pa.int64()), pa.array(removed, pair),
+                                                  pa.array(kept, pa.binary())], names=[*names, "n_bytes", "removed", "kept"])
 
     return run
 
