@@ -68,9 +68,11 @@ class CachedEncoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, spans: list[bytes]) -> None:
-        """Encode new stretches: those without white space at their ends or newlines in one go, one a line."""
+        """Encode new stretches: those without newlines or white space at their ends, but for one space before, in one go, one a line."""
         texts = [x.decode("utf-8", "replace") for x in spans]
-        plain = np.array([x != "" and "\n" not in x and not x[-1].isspace() for x in texts], bool)
+        # Other white space after the joining newline would make one token with it.
+        plain = np.array([x != "" and "\n" not in x and not x[-1].isspace() and not x.removeprefix(" ")[0].isspace()
+                          for x in texts], bool)
         joined = np.array(self.encode("\n".join([x for x, k in zip(texts, plain.tolist()) if k])), np.uint32)
         line_ends = np.append(np.flatnonzero(joined == self.newline), len(joined))
         line_starts = np.concatenate(([0], line_ends[:-1] + 1))
