@@ -25,7 +25,8 @@ from lopside.llm.decontaminate import row_key
 from lopside.llm.suffixes import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 24
-PARTS = 256
+LEAST_PARTS, MOST_PARTS, PART_ANCHORS = 256, 1 << 14, 1 << 20
+MOST_BITS = 1 << 30
 NONE_LAST = np.iinfo(np.int64).max
 PARTED = "part long, kind int, payload binary"
 
@@ -56,20 +57,30 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
     return first, last, grams[anchor[first]], text[first]
 
 
-def _part(anchor: np.ndarray) -> np.ndarray:
-    return (anchor >> np.uint64(56)).astype(np.int64)
+def part_count(n_bytes: int) -> int:
+    """A power of two: parts of about PART_ANCHORS anchors, of which there are two in as many bytes as a window has places."""
+    anchors = 2 * n_bytes // (LENGTH - GRAM + 2)
+    return min(MOST_PARTS, max(LEAST_PARTS, 1 << (anchors // PART_ANCHORS).bit_length()))
 
 
-def repeated_anchors(rows: DataFrame, bits: int = 1 << 26) -> np.ndarray:
-    """A filter of the anchors that occur more than once: PARTS stretches of bits, ``bits`` in all."""
-    own = bits // PARTS
+def _part(spread: np.ndarray, parts: int) -> np.ndarray:
+    return (spread >> np.uint64(65 - parts.bit_length())).astype(np.int64)
+
+
+def repeated_anchors(rows: DataFrame, parts: int = LEAST_PARTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A filter of the anchors that occur more than once: 64-bit words, and each part's first word and number of bits.
+
+    Anchors are least hashes, so they are spread anew before they are dealt out. A part has sixteen
+    bits or more for each of its repeated anchors, as far as MOST_BITS go for all parts.
+    """
+    most = MOST_BITS // parts
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "_text", 8 << 20):
-            anchor = np.sort(segments(*flat_bytes(batch.column("_text")))[2])
-            cut = np.searchsorted(_part(anchor), np.arange(PARTS + 1))
+            spread = np.sort(mixed(segments(*flat_bytes(batch.column("_text")))[2]))
+            cut = np.searchsorted(_part(spread, parts), np.arange(parts + 1))
             some = np.flatnonzero(np.diff(cut))
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([anchor[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([spread[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary())],
                                              names=["part", "anchors"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,29 +90,33 @@ def repeated_anchors(rows: DataFrame, bits: int = 1 << 26) -> np.ndarray:
                 seen.setdefault(part, []).append(np.frombuffer(anchors, np.uint64))
         for part, lists in seen.items():
             values = np.sort(np.concatenate(lists))
-            twice = values[1:][values[1:] == values[:-1]]
+            twice = np.unique(values[1:][values[1:] == values[:-1]])
+            own = min(most, max(64, 1 << (16 * len(twice) - 1).bit_length())) if len(twice) else 64
             words = np.zeros(own // 64, np.uint64)
-            for slot in _slots(np.unique(twice), own):
+            for slot in _slots(twice, np.uint64(own)):
                 np.bitwise_or.at(words, slot >> np.uint64(6), np.uint64(1) << (slot & np.uint64(63)))
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([words.tobytes()], pa.binary())], names=["part", "bits"])
 
     found = (rows.select("_text").mapInArrow(emit, "part int, anchors binary").repartition("part")
-             .mapInArrow(gather, "part int, bits binary").collect())  # PARTS rows of a fixed size
-    out = np.zeros((PARTS, own // 64), np.uint64)
+             .mapInArrow(gather, "part int, bits binary").collect())  # a row for each part, MOST_BITS in all
+    stretches = [np.zeros(1, np.uint64)] * parts
     for row in found:
-        out[row["part"]] = np.frombuffer(row["bits"], np.uint64)
-    return out
+        stretches[row["part"]] = np.frombuffer(row["bits"], np.uint64)
+    size = np.array([len(x) for x in stretches], np.int64)
+    return np.concatenate(stretches), np.cumsum(size) - size, (64 * size).astype(np.uint64)
 
 
-def _slots(anchor: np.ndarray, own: int) -> list[np.ndarray]:
-    step = mixed(anchor) | np.uint64(1)
-    return [(anchor + np.uint64(k) * step) & np.uint64(own - 1) for k in range(4)]
+def _slots(spread: np.ndarray, own: np.ndarray | np.uint64) -> list[np.ndarray]:
+    step = mixed(spread) | np.uint64(1)
+    return [(spread + np.uint64(k) * step) & (own - np.uint64(1)) for k in range(4)]
 
 
-def _may_repeat(anchor: np.ndarray, filters: np.ndarray) -> np.ndarray:
-    ok, part = np.ones(len(anchor), bool), _part(anchor)
-    for slot in _slots(anchor, filters.shape[1] * 64):
-        ok &= (filters[part, (slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+def _may_repeat(anchor: np.ndarray, filters: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    words, first, own = filters
+    spread = mixed(anchor)
+    ok, part = np.ones(len(spread), bool), _part(spread, len(own))
+    for slot in _slots(spread, own[part]):
+        ok &= (words[first[part] + (slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
     return ok
 
 
@@ -170,12 +185,12 @@ def _joined(first: np.ndarray, end: np.ndarray, owner: np.ndarray) -> tuple[np.n
     return first[at], reach[np.append(at[1:], len(new)) - 1] - shift[at], owner[at]
 
 
-def candidates(rows: DataFrame, filters: np.ndarray, parts: int) -> DataFrame:
+def candidates(rows: DataFrame, filters: tuple[np.ndarray, np.ndarray, np.ndarray], parts: int) -> DataFrame:
     """(part, kind, payload): segments that may repeat, by anchor (kind 0), and repeated spans by document (kind 1).
 
     Of equal segments in one slice of the input only the earliest goes on; the others are spans already.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(filters)  # a fixed number of bits
+    shared = rows.sparkSession.sparkContext.broadcast(filters)  # at most MOST_BITS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared.value
@@ -283,8 +298,9 @@ def dedup(docs: DataFrame, docs_per_part: int = 1000) -> DataFrame:
     small_batches(docs.sparkSession)
     docs = row_key(docs.drop("n_bytes", "removed", "kept"))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "_key", text_bytes(docs).alias("_text"))
-    parts = max(64, docs.count() // docs_per_part)
-    spans = shard_spans(candidates(rows, repeated_anchors(rows), parts), parts)
+    count, n_bytes = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()
+    parts = max(64, count // docs_per_part)
+    spans = shard_spans(candidates(rows, repeated_anchors(rows, part_count(n_bytes)), parts), parts)
     names = [c for c in docs.columns if c != "_key"]
     given = docs.select(F.pmod("_key", F.lit(parts)).alias("part"), F.lit(2).alias("kind"), F.lit(None).cast("binary").alias("payload"),
                         docs["doc_id"].cast("long").alias("_id"), "_key", F.struct(*names).alias("_row"))

@@ -69,3 +69,17 @@ def test_whole_table(spark, small):
     want = {i: v for (i, _), v in brute(rows).items()}
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op8_suffixes"](spark, small).collect()}
     assert got == want
+
+
+def test_anchors_are_spread_evenly(spark):
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 123, 1_500_000).astype(np.uint8)
+    anchor = substrings.segments(data, np.array([0, len(data)]))[2]
+    rows = spark.createDataFrame([(data[:200_000].tobytes(),), (data.tobytes(),)], "_text binary").repartition(2)
+    filters = substrings.repeated_anchors(rows)
+    sizes = np.bincount(substrings._part(substrings.mixed(anchor), len(filters[1])), minlength=len(filters[1]))
+    assert sizes.max() < 2 * sizes.mean()
+    twice = np.isin(anchor, substrings.segments(data[:200_000], np.array([0, 200_000]))[2])
+    passed = substrings._may_repeat(anchor, filters)
+    assert passed[twice].all() and passed[~twice].mean() < 0.02
+    assert [substrings.part_count(n) for n in (0, 1 << 30, 1 << 36, 1 << 60)] == [256, 256, 2048, 1 << 14]
