@@ -86,8 +86,14 @@ def _(t):
     return t.txn.select("row_id", money_text(F.col("amt"), 2).alias("amount"))
 
 
+def _sound_bundle(both):
+    return both.select("CustomerId", (F.col("p") == F.col("fitted_p")).alias("same_as_fitted"),
+                       (F.col("threshold") == F.col("fitted_threshold")).alias("threshold_kept"))
+
+
 @query("scores_from_saved_bundle", "S09 S10 S13 Q04", sql=f"""with {held_out_sql('churn', 'Exited', 'CustomerId')}
-  select CustomerId, true as same_as_fitted, true as threshold_kept from flagged where in_test""")
+  select CustomerId, true as same_as_fitted, true as threshold_kept from flagged where in_test""",
+       check=_sound_bundle)
 def _(t):
     """Train, save, load again, and score the held-out customers with the loaded model."""
     folder = fresh(t, "bundle")
@@ -97,5 +103,5 @@ def _(t):
     bundle = sinks.load_bundle(t.spark, folder)
     _, test = stratified_split(churn, "Exited", "CustomerId")
     both = score_tabular(fitted.model, score_tabular(bundle.model, test, "loaded"))
-    return both.select("CustomerId", (F.col("loaded") == F.col("p")).alias("same_as_fitted"),
-                       F.lit(bundle.threshold == fitted.threshold).alias("threshold_kept"))
+    return both.select("CustomerId", F.col("loaded").alias("p"), F.lit(bundle.threshold).alias("threshold"),
+                       F.col("p").alias("fitted_p"), F.lit(fitted.threshold).alias("fitted_threshold"))

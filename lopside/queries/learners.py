@@ -74,43 +74,54 @@ def _models_sql(names, rows: str) -> str:
     return f"select unnest({sql_list(names)}) as model, (select count(*) from {rows}) as n_test, {SOUND}"
 
 
-@query("fraud_learner_comparison", "M09 M02 M04 M06 C04 C06 K01", sql=_models_sql(compare.fraud_learners(), "feat_test"))
+@query("fraud_learner_comparison", "M09 M02 M04 M06 C04 C06 K01", sql=_models_sql(compare.fraud_learners(), "feat_test"),
+       check=lambda found: sound_results(found, "model"))
 def _(t):
-    return sound_results(compare.compare_tabular(*t.feature_parts, "is_fraud", CATEGORICAL, NUMERIC,
-                                                 compare.fraud_learners(), "row_id"), "model")
+    return compare.compare_tabular(*t.feature_parts, "is_fraud", CATEGORICAL, NUMERIC,
+                                   compare.fraud_learners(), "row_id")
 
 
 @query("fraud_ablation", "M10 P21 M04", sql=f"""
   select unnest(['full (9 features)', 'identity-free', 'transaction-only']) as feature_set,
     unnest([{len(FEATURES)}, {len(IDENTITY_FREE)}, {len(TRANSACTION_ONLY)}]) as n_features,
-    (select count(*) from feat_test) as n_test, {SOUND}""")
+    (select count(*) from feat_test) as n_test, {SOUND}""",
+       check=lambda found: sound_results(found, "feature_set", "n_features"))
 def _(t):
     sets = {"full (9 features)": FEATURES, "identity-free": IDENTITY_FREE, "transaction-only": TRANSACTION_ONLY}
-    return sound_results(compare.ablation(*t.feature_parts, "is_fraud", sets, CATEGORICAL, "row_id"),
-                         "feature_set", "n_features")
+    return compare.ablation(*t.feature_parts, "is_fraud", sets, CATEGORICAL, "row_id")
 
 
 CHURN_TEST = f"with {held_out_sql('churn', 'Exited', 'CustomerId')}"
 
 
 @query("churn_learner_comparison", "M09 M02 M04 M05 C07",
-       sql=f"{CHURN_TEST} {_models_sql(compare.churn_learners(), 'flagged where in_test')}")
+       sql=f"{CHURN_TEST} {_models_sql(compare.churn_learners(), 'flagged where in_test')}",
+       check=lambda found: sound_results(found, "model"))
 def _(t):
-    return sound_results(compare.compare_tabular(*churn_parts(t), "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC,
-                                                 compare.churn_learners(), "CustomerId", order="roc_auc"), "model")
+    return compare.compare_tabular(*churn_parts(t), "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC,
+                                   compare.churn_learners(), "CustomerId", order="roc_auc")
 
 
 @query("churn_training", "M05 L06 E11 S13", sql=f"""{CHURN_TEST}
-  select (select count(*) from flagged where in_test) as n_test, {SOUND}""")
+  select (select count(*) from flagged where in_test) as n_test, {SOUND}""", check=sound_results)
 def _(t):
-    return sound_results(training.train_churn(durable(t.churn), "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC).metrics)
+    return training.train_churn(durable(t.churn), "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC).metrics
+
+
+def _sound_cost(metrics):
+    return sound_results(metrics).withColumn("false_alarm_cost", metrics.select("false_alarm_cost").scalar())
 
 
 @query("fraud_training", "M04 E12 E15 L02", sql=f"""
-  select (select count(*) from txn_test) as n_test, {SOUND}, 5.0e0 as false_alarm_cost""")
+  select (select count(*) from txn_test) as n_test, {SOUND}, 5.0e0 as false_alarm_cost""", check=_sound_cost)
 def _(t):
-    metrics = training.train_fraud(*t.txn_parts).metrics
-    return sound_results(metrics).withColumn("false_alarm_cost", metrics.select("false_alarm_cost").scalar())
+    return training.train_fraud(*t.txn_parts).metrics
+
+
+def _sound_shares(found):
+    total = found.agg(F.sum("importance").alias("s")).scalar()
+    return found.select("feature", F.col("importance").between(0, 1).alias("in_range"),
+                        (F.abs(total - 1) < 1e-6).alias("sum_to_one"))
 
 
 @query("churn_impurity_importance", "I02 C05 M05", sql=f"""{CHURN_TEST},
@@ -118,14 +129,11 @@ def _(t):
   names as (select concat('Geography_', Geography) as feature from seen where Geography > (select min(Geography) from seen)
     union select concat('Gender_', Gender) from seen where Gender > (select min(Gender) from seen)
     union all select unnest({sql_list(CHURN_NUMERIC)}))
-  select feature, true as in_range, true as sum_to_one from names""")
+  select feature, true as in_range, true as sum_to_one from names""", check=_sound_shares)
 def _(t):
     train, _ = churn_parts(t)
     model = fit_tabular(train, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, boosting)
-    found = impurity_importance(model, t.spark)
-    total = found.agg(F.sum("importance").alias("s")).scalar()
-    return found.select("feature", F.col("importance").between(0, 1).alias("in_range"),
-                        (F.abs(total - 1) < 1e-6).alias("sum_to_one"))
+    return impurity_importance(model, t.spark).orderBy(F.desc("importance"), "feature")
 
 
 def _sound_importance(found):
@@ -138,22 +146,22 @@ def _importance_sql(columns, repeats: int) -> str:
             "true as in_range, true as has_spread")
 
 
-@query("churn_permutation_importance", "I01 M08", sql=_importance_sql([*CHURN_CATEGORICAL, *CHURN_NUMERIC], 15))
+@query("churn_permutation_importance", "I01 M08", sql=_importance_sql([*CHURN_CATEGORICAL, *CHURN_NUMERIC], 15),
+       check=_sound_importance)
 def _(t):
     train, test = churn_parts(t)
     model = fit_tabular(train, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, boosting)
-    return _sound_importance(permutation_importance(
-        lambda df: score_tabular(model, df), test, "CustomerId", "Exited",
-        [*CHURN_CATEGORICAL, *CHURN_NUMERIC], "roc_auc", repeats=15))
+    return permutation_importance(lambda df: score_tabular(model, df), test, "CustomerId", "Exited",
+                                  [*CHURN_CATEGORICAL, *CHURN_NUMERIC], "roc_auc", repeats=15)
 
 
-@query("fraud_permutation_importance", "I01 L05 J04", sql=_importance_sql(FEATURES, 5))
+@query("fraud_permutation_importance", "I01 L05 J04", sql=_importance_sql(FEATURES, 5), check=_sound_importance)
 def _(t):
     train, test = t.feature_parts
     model = fit_tabular(train, "is_fraud", CATEGORICAL, NUMERIC, forest, True)
     sample = fixed_sample(test, "row_id", 60_000)
-    return _sound_importance(permutation_importance(lambda df: score_tabular(model, df), sample, "row_id", "is_fraud",
-                                                    FEATURES, "average_precision", repeats=5))
+    return permutation_importance(lambda df: score_tabular(model, df), sample, "row_id", "is_fraud",
+                                  FEATURES, "average_precision", repeats=5)
 
 
 def _genre_vectorisers() -> TextTfidf:
@@ -206,12 +214,13 @@ def _(t):
     return training.train_messages(durable(t.sms_unique)).metrics
 
 
-@query("amount_weighted_learner", "N04 M02", sql=_models_sql(["amount weighted"], "feat_test"))
+@query("amount_weighted_learner", "N04 M02", sql=_models_sql(["amount weighted"], "feat_test"),
+       check=lambda found: sound_results(found, "model"))
 def _(t):
     train, test = t.feature_parts
     model = fit_tabular(train, "is_fraud", CATEGORICAL, NUMERIC, logistic, sample_weight=F.col("amt"))
     scored = durable(score_tabular(model, test).select(F.lit("amount weighted").alias("model"), "is_fraud", "p"))
-    return sound_results(compare.tabular_results(scored, "is_fraud", ["model"]), "model")
+    return compare.tabular_results(scored, "is_fraud", ["model"])
 
 
 @query("isotonic_reliability", "N05 M02")
@@ -226,27 +235,34 @@ def _(t):
     return rounded(before.unionByName(after))
 
 
-@query("repeated_fold_metrics", "N06 L04", sql="""
-  select cast(15 as bigint) as fits, true as auc_in_range, true as ap_in_range, true as has_spread""")
-def _(t):
-    found = extras.repeated_folds(durable(t.churn), "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC)
+def _sound_folds(found):
     return found.select("fits", F.col("roc_auc_mean").between(0, 1).alias("auc_in_range"),
                         F.col("average_precision_mean").between(0, 1).alias("ap_in_range"),
                         ((F.col("roc_auc_std") > 0) & (F.col("average_precision_std") > 0)).alias("has_spread"))
 
 
+@query("repeated_fold_metrics", "N06 L04", sql="""
+  select cast(15 as bigint) as fits, true as auc_in_range, true as ap_in_range, true as has_spread""", check=_sound_folds)
+def _(t):
+    return extras.repeated_folds(durable(t.churn), "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC)
+
+
+def _sound_classes(report):
+    p, r = F.col("precision"), F.col("recall")
+    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    return report.filter("support > 0").select(
+        "label", F.col("support").cast("bigint").alias("support"), (F.abs(F.col("f1") - f1) < 1e-9).alias("f1_follows"))
+
+
 @query("word_and_char_union", "N07 M03", sql=f"""with {held_out_sql('sms_unique', 'label', 'row_id')}
-  select label, count(*) as support, true as f1_follows from flagged where in_test group by label""")
+  select label, count(*) as support, true as f1_follows from flagged where in_test group by label""",
+       check=_sound_classes)
 def _(t):
     train, test = stratified_split(durable(t.sms_unique), "label", "row_id", 0.2)
     vectors = extras.word_and_char_vectors("message")(train)
     seen = durable(vectors.transform(train).select("row_id", "label", "features"))
     model = CalibratedSVC("label", "row_id", folds=0).fit(seen)
-    predicted = model.transform(vectors.transform(test))
-    p, r = F.col("precision"), F.col("recall")
-    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
-    return class_report(predicted, "label", "predicted").filter("support > 0").select(
-        "label", F.col("support").cast("bigint").alias("support"), (F.abs(F.col("f1") - f1) < 1e-9).alias("f1_follows"))
+    return class_report(model.transform(vectors.transform(test)), "label", "predicted")
 
 
 @query("random_search", "N10")
