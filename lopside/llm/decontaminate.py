@@ -142,7 +142,8 @@ def matches(docs: DataFrame, items: DataFrame, containment: float = 0.8) -> Data
     """(doc_id, _key, item_id, n_shared, n_item, containment): items of which a document has most shingles.
 
     Shingles are runs of five lower-cased words; ``containment`` is the least share of an item's
-    distinct shingles that must stand in the document. Null or empty texts match nothing; repeated
+    distinct shingles that must stand in the document. An item of fewer than five words matches only
+    documents of the same words and no others, not longer ones that contain it. Null or empty texts match nothing; repeated
     item ids are items of their own only if their texts differ; repeated documents are reported once.
     Empty tables give no rows.
     """
