@@ -270,12 +270,13 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> Da
     return out.withColumn("density", F.try_divide(F.col("n"), in_class * width))
 
 
-def density_estimate(df: DataFrame, value: Column, by: str, grid: int = 200, bins: int = 2048,
+def density_estimate(df: DataFrame, value: Column, by: str, grid: int = 200, bins: int | None = 2048,
                      cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density per class on an even grid.
 
     Rows are first counted in ``bins`` narrow bins per class; the smoothing then
-    runs over the bin counts, whose number does not grow with the data. Bandwidth
+    runs over the bin counts, whose number does not grow with the data. Without
+    ``bins`` it runs over the distinct values with their counts. Bandwidth
     is n^(-1/5) times the sample deviation, the grid reaches ``cut`` bandwidths out.
     """
     rows = df.select(F.col(by).alias("_c"), value.cast("double").alias("v")).filter(
@@ -284,11 +285,14 @@ def density_estimate(df: DataFrame, value: Column, by: str, grid: int = 200, bin
         F.count("*").alias("n"), F.stddev_samp("v").alias("s"), F.min("v").alias("lo"),
         F.max("v").alias("hi")).withColumn("h", F.pow(F.col("n"), F.lit(-0.2)) * F.col("s"))
     placed = attach(rows, stats, ["_c"])
-    width = (F.col("hi") - F.col("lo")) / bins
-    cell = F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(bins - 1))
-    counts = placed.groupBy("_c", "n", "h", "lo", "hi", F.coalesce(cell, F.lit(0)).alias("cell")).agg(
-        F.count("*").alias("m"))
-    centre = F.col("lo") + (F.col("cell") + 0.5) * width
+    if bins is None:
+        centre = F.col("cell")
+        cell = F.col("v")
+    else:
+        width = (F.col("hi") - F.col("lo")) / bins
+        centre = F.col("lo") + (F.col("cell") + 0.5) * width
+        cell = F.coalesce(F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(bins - 1)), F.lit(0))
+    counts = placed.groupBy("_c", "n", "h", "lo", "hi", cell.alias("cell")).agg(F.count("*").alias("m"))
     start = F.col("lo") - cut * F.col("h")
     step = (F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (grid - 1)
     spread = counts.select("_c", "n", "h", "m", centre.alias("x"), start.alias("a"), step.alias("d"),

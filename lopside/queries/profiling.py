@@ -326,6 +326,21 @@ def _(t):
     return rounded(P.density_estimate(amounts, F.log10("amt"), "is_fraud", bins=512))
 
 
+@query("log_amount_density_exact", "A24 F10 S16", sql="""
+  with v as (select is_fraud, log10(amt) as v from txn where amt > 0),
+  s as (select is_fraud, count(*) as n, min(v) as lo, max(v) as hi, pow(count(*), -0.2e0) * stddev_samp(v) as h
+    from v group by 1),
+  g as (select *, unnest(range(200)) as i from s),
+  k as (select is_fraud, n, h, i, (lo - 3 * h) + i * ((hi - lo + 6 * h) / 199) as pos from g)
+  select k.is_fraud, cast(i as int) as i, round(max(pos), 6) as x,
+    round(sum(exp(-((pos - v) / h) * ((pos - v) / h) / 2)) / min(n * h) / sqrt(2 * pi()), 6) as density
+  from k join v on v.is_fraud = k.is_fraud group by 1, 2""")
+def _(t):
+    """The density of the rows themselves, without bins."""
+    amounts = t.txn.filter(F.col("amt") > 0)
+    return rounded(P.density_estimate(amounts, F.log10("amt"), "is_fraud", bins=None))
+
+
 BREAKDOWN_EDGES = [17, 30, 40, 50, 60, 100]
 BREAKDOWN_LABELS = ["18-30", "31-40", "41-50", "51-60", "60+"]
 
