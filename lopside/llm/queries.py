@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lopside.llm import chat, dart, decontaminate, lattice, lines, packing, pages, substrings, topk, toxicity
-from lopside.llm.common import read
+from lopside.llm import chat, dart, decontaminate, lattice, lines, packing, pages, substrings, tokens, topk, toxicity
+from lopside.llm.common import read, stored
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -95,3 +95,9 @@ def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the bytes of 100-byte strings that start earlier."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return substrings.digest_rows(substrings.dedup(docs).drop("text"))
+
+
+@registered
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' token ids written as packed files in the order of their ids, and read back."""
+    return tokens.decoded(stored(tokens.encoded(read(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))))
