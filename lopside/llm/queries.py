@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lopside.llm import chat, dart, decontaminate, lattice, lines, packing, pages, substrings, tokens, topk, toxicity
+from lopside.llm import (chat, dart, decontaminate, lattice, lines, packing, pages, substrings, tokens, topk, toxicity,
+                         whitening)
 from lopside.llm.common import read, stored
 
 QUERIES: dict = {}
@@ -101,3 +102,9 @@ def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' token ids written as packed files in the order of their ids, and read back."""
     return tokens.decoded(stored(tokens.encoded(read(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))))
+
+
+@registered
+def op12_slicing(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors projected on up to 32 leading components, each of variance one."""
+    return whitening.component_rows(read(spark, folder, "embeddings"))
