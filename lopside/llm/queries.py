@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lopside.llm import (chat, dart, decontaminate, lattice, lines, packing, pages, substrings, tokens, topk, toxicity,
-                         whitening)
+from lopside.llm import (chat, dart, decontaminate, lattice, lines, negatives, packing, pages, substrings, tokens, topk,
+                         toxicity, whitening)
 from lopside.llm.common import read, stored
 
 QUERIES: dict = {}
@@ -108,3 +108,12 @@ def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
 def op12_slicing(spark: SparkSession, folder: str) -> DataFrame:
     """All vectors projected on up to 32 leading components, each of variance one."""
     return whitening.component_rows(read(spark, folder, "embeddings"))
+
+
+@registered
+def op13_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """For every hundredth vector's five positives, the ten best rows of other labels within their windows."""
+    return negatives.mined(negatives.quantised(read(spark, folder, "embeddings")))
+
+
+SQL["op13_zones"] = negatives.SQL
