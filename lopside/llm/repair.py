@@ -41,7 +41,7 @@ class Grammar:
         return out
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, least: int = 4, share: int = 8) -> Grammar:
+def compress(ids: np.ndarray, starts: np.ndarray, least: int = 8, share: int = 32) -> Grammar:
     """The grammar of ``ids``; ``starts`` are the places where pieces begin, the first at 0.
 
     A round counts all pairs and replaces those at least a ``share``-th as frequent as the most

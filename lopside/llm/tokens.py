@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,10 +34,11 @@ _KIND[48:58] = 2
 _KIND[[9, 10, 11, 12, 13, 32]] = 3
 _KIND[[b for b in b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"]] = 4
 # Letters whose lower case is one letter of the same range; all of them are in composed form.
-_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]+").fullmatch
+_LATIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]+$"
 # How byte-level vocabularies show bytes: those that print as themselves, the others from 256 on (a fixed value).
 _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+_SHOWN = {b: b for b in _PRINTS} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+_LETTERS = {c: "".join(chr(_SHOWN[b]) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 _CUT = np.zeros((256, 256), bool)  # by the bytes before and after: whether a token always ends there
 for _a in range(256):
     for _b in range(256):
@@ -71,21 +72,21 @@ class PieceEncoder:
         self.known: dict[bytes, int] = {}
         self.at, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
-        texts = [x.decode("utf-8", "replace") for x in pieces]
-        out, rest, model = [], [], self.tokenizer.model
-        for k, text in enumerate(texts):
-            word = text.strip()
-            if self.plain and _LATIN(word):
-                word = word.lower()
-                shown = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
-                out.append([x.id for x in model.tokenize(shown)])
-            else:
-                out.append(None)
-                rest.append(k)
-        for k, e in zip(rest, self.tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
+    def _encode(self, pieces: pa.Array) -> list[list[int]]:
+        try:
+            texts = pieces.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            texts = pa.array([x.decode("utf-8", "replace") for x in pieces.to_pylist()], pa.large_string())
+        words = pc.utf8_trim(texts, " \t\n\r\v\f")
+        latin = pc.match_substring_regex(words, _LATIN).to_numpy(zero_copy_only=False) & self.plain
+        out = np.empty(len(pieces), object)
+        model = self.tokenizer.model.tokenize
+        for k, word in zip(np.flatnonzero(latin).tolist(), pc.utf8_lower(words.filter(pa.array(latin))).to_pylist()):
+            out[k] = [x.id for x in model(word if word.isascii() else word.translate(_LETTERS))]
+        rest = texts.filter(pa.array(~latin)).to_pylist()
+        for k, e in zip(np.flatnonzero(~latin).tolist(), self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             out[k] = e.ids
-        return out
+        return out.tolist()
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, and how many each text has."""
@@ -103,7 +104,7 @@ class PieceEncoder:
             self.clear()
         number = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(number < 0)
-        found = self._encode([pieces[k] for k in new])
+        found = self._encode(coded.dictionary.take(pa.array(new)))
         size = np.array([len(x) for x in found], np.int64)
         # Long pieces, which hardly come twice, stand last and are not kept after this call.
         long = np.array([len(pieces[k]) > self.longest for k in new], bool)
@@ -165,7 +166,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = 2, block: int = BLOCK
         encode, shard = encoder(tokenizer), TaskContext.get().partitionId()
         number, first, held = 0, 0, 0
         doc_ids, counts, ids = [], [], []
-        for batch in text_slices(batches, "_text", 1 << 20):
+        for batch in text_slices(batches, "_text", 2 << 20):
             flat, sizes = encode(*flat_bytes(batch.column("_text")))
             flat = np.insert(flat, np.cumsum(sizes), np.uint32(end_id))
             doc_ids += batch.column("doc_id").to_pylist()
