@@ -85,13 +85,29 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
         size = 1 << max(16, (n - 1).bit_length())
+        powers = {}
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, np.uint64(base), np.uint64)
             steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
+            powers[name] = np.multiply.accumulate(steps)
+        if size > 4 * SLICE:  # for one very long span: not kept
+            return powers["up"], powers["down"]
+        _POWERS.update(powers)
     return _POWERS["up"], _POWERS["down"]
 
 
+def guarded(df: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with all columns but ``own`` renamed, so that no name clashes with an operator's; and the new names."""
+    names = {c: c if c in own else f"given_{k}" for k, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(new) for c, new in names.items()]), names
+
+
+def given_back(out: DataFrame, names: dict[str, str], *added: str) -> DataFrame:
+    """The columns of ``guarded`` under their old names; ``added`` ones follow and replace those of the same name."""
+    old = [F.col(new).alias(c) for c, new in names.items() if c not in added]
+    return out.select(*old, *added)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit integers evenly (the finishing steps of splitmix64)."""
     x = x.astype(np.uint64, copy=True)
@@ -103,25 +119,42 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, the same wherever the span lies."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+SLICE = 1 << 19  # bytes hashed at once; the work arrays are some fifty times as large
+
+
+def _prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return sums, down
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span, the same wherever the span lies. Spans are given by rising starts.
+
+    Long data are hashed slice by slice, so the memory follows the longest span and not the data.
+    """
+    out = np.zeros(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = int(starts[at])
+        upto = max(int(np.searchsorted(starts, low + SLICE, "left")), at + 1)
+        first, last = starts[at:upto] - low, ends[at:upto] - low
+        sums, down = _prefix_sums(data[low:low + int(last.max())])
+        out[at:upto] = mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+        at = upto
+    return out
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """The hash of the ``size`` bytes from every place on, as ``span_hashes`` gives it."""
-    n = len(data) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    return mixed((sums[size:] - sums[:n]) * down[:n] + np.uint64(size))
+    count = max(len(data) - size + 1, 0)
+    out = np.zeros(count, np.uint64)
+    for low in range(0, count, SLICE):
+        n = min(SLICE, count - low)
+        sums, down = _prefix_sums(data[low:low + n + size - 1])
+        out[low:low + n] = mixed((sums[size:] - sums[:n]) * down[:n] + np.uint64(size))
+    return out
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -39,3 +39,35 @@ def test_no_labels(spark):
     docs = spark.createDataFrame([(1, "a b c", "en", "s")], ODD)
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.predicted for r in toxicity.classified(docs, labels).collect()] == [0]
+
+
+def test_memory_does_not_follow_the_sample():
+    """What the work arrays need beside the sample itself; they are made for some words and texts at a time."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    words = np.array([f"word{k}" for k in range(60_000)])
+    peaks = []
+    for copies in (1, 8):
+        texts = [" ".join(rng.choice(words, 6000)) + (" you idiot" if k % 3 == 0 else "") for k in range(75 * copies)]
+        data = pa.array([t.encode() for t in texts], pa.binary())
+        labels = np.array([k % 3 == 0 for k in range(len(texts))]).astype(np.int64)
+        tracemalloc.start()
+        toxicity.fit(data, labels, turns=1, rounds=1)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    size = sum(map(len, texts))
+    assert size > 30e6 and peaks[1] < 12 * size, (size, peaks)
+
+
+def test_repeated_ids_are_one_row(spark):
+    rows = [(k % 40, f"text {k} of many" + (" you stupidhead" if k % 40 < 20 else " is fine"), "en", "x") for k in range(4000)]
+    docs = spark.createDataFrame(rows, ODD)
+    labels = spark.createDataFrame([(k, int(k < 20)) for k in range(40)], "doc_id long, toxic int")
+    one = toxicity.train(docs, labels)
+    assert one[0] == toxicity.train(docs.repartition(9), labels)[0]
+    clash = docs.limit(1).withColumnRenamed("lang", "held_out").withColumnRenamed("score", "_text")
+    assert toxicity.score(clash, one).columns == ["doc_id", "text", "_text", "score", "held_out"]
