@@ -1,21 +1,22 @@
-"""Substring dedup by line hashing.
+"""Substring dedup by hashing paragraphs, lines and sentences.
 
-Each line is normalised and hashed where its document lies; only digests and
-offsets are shuffled. The digest groups keep the earliest occurrence in the whole
+Each unit is normalised and hashed where its document lies; only digests and
+offsets are shuffled. The digest groups, one table for units of all sizes, keep the earliest occurrence in the whole
 table by a combining minimum. The few digests that hold more than a thousandth of
-all lines are joined by a broadcast, so no group of the other join can be larger.
+all units are joined by a broadcast, so no group of the other join can be larger.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lopside.llm.common import small_batches, stored, text_bytes, text_slices
+from lopside.llm.common import given_back, guarded, small_batches, stored, text_bytes, text_slices
 
 HEAVY_SHARE = 1000
 
@@ -25,36 +26,65 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_key", F.xxhash64(docs["doc_id"].cast("string"), F.coalesce(docs["text"].cast("string"), F.lit(""))))
 
 
-def units(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, _key, unit, start, end, digest): lines of at least ``min_words`` words.
+_BLANK = re.compile(rb"\n[ \t\r\x0b\x0c]*(?=\n)")
+_SENTENCE = re.compile(rb"[.!?][ \t\r\x0b\x0c]+")
 
-    ``start`` and ``end`` are byte offsets of the line in the original text, with its newline.
+
+def spans_of(text: bytes, sentence_words: int, block_words: int) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, normal form) of the units of a text that are long enough to be judged.
+
+    Paragraphs end at blank lines, lines at newlines, sentences at a full stop, question or exclamation mark before white space,
+    or at the line's end. Sentences count from ``sentence_words`` words on, lines and paragraphs of several ones
+    from ``block_words``. A paragraph of one line, and a line of one sentence, are the smaller unit.
     """
-    names = ["doc_id", "_key", "unit", "start", "end", "digest"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    at = 0
+    for part in [*(m.end() for m in _BLANK.finditer(text)), len(text)]:
+        paragraph = text[at:part]
+        words, lines = [], []
+        start = at
+        for line in paragraph.split(b"\n"):
+            cuts = [0, *(m.end() for m in _SENTENCE.finditer(line)), len(line)]
+            own, sentences = [], 0
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                some = line[a:b].lower().split()
+                own += some
+                if some:
+                    sentences += 1
+                    if len(some) >= sentence_words:
+                        yield start + a, start + b, b" ".join(some)
+            if sentences > 1 and len(own) >= block_words:
+                yield start, start + len(line), b" ".join(own)
+            words += own
+            if own:
+                lines.append((start, start + len(line)))
+            start += len(line) + 1
+        if len(lines) > 1 and len(words) >= block_words:
+            yield lines[0][0], lines[-1][1], b" ".join(words)
+        at = part
+
+
+def units(docs: DataFrame, sentence_words: int, block_words: int) -> DataFrame:
+    """(doc_id, _key, start, end, digest): the units of all documents, by byte offsets in the original text."""
+    names = ["doc_id", "_key", "start", "end", "digest"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "_text"):
             out: list[list] = [[] for _ in names]
             for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                at = 0
-                for unit, line in enumerate(text.split(b"\n")):
-                    words = line.lower().split()
-                    end = min(at + len(line) + 1, len(text))
-                    if len(words) >= min_words:
-                        digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-                        for column, value in zip(out, (doc_id, key, unit, at, end, digest)):
-                            column.append(value)
-                    at = end
+                for start, end, normal in spans_of(text, sentence_words, block_words):
+                    digest = hashlib.blake2b(normal, digest_size=16).digest()
+                    for column, value in zip(out, (doc_id, key, start, end, digest)):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
 
     rows = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "_key", text_bytes(docs).alias("_text"))
-    return rows.mapInArrow(run, "doc_id long, _key long, unit int, start long, end long, digest binary")
+    return rows.mapInArrow(run, "doc_id long, _key long, start long, end long, digest binary")
 
 
 def repeats(lines: DataFrame) -> DataFrame:
-    """The rows of ``lines`` that are not the earliest of their digest, in the order doc_id, key, unit."""
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key", "unit")
+    """The rows of ``lines`` that are not the earliest of their digest, in the order doc_id, key, start, end."""
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key", "start", "end")
     total = lines.count()
     groups = lines.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
     groups = stored(groups)
@@ -66,48 +96,71 @@ def repeats(lines: DataFrame) -> DataFrame:
     return found.filter(rank != F.col("first")).drop("first")
 
 
-def dedup(docs: DataFrame, min_words: int = 10) -> DataFrame:
-    """All rows and columns of ``docs``, ``text`` without the lines that came earlier elsewhere.
+def dedup(docs: DataFrame, sentence_words: int = 15, block_words: int = 40) -> DataFrame:
+    """All rows and columns of ``docs``, ``text`` without the units that came earlier elsewhere.
 
-    Added columns (they replace columns of the same name): ``n_units`` (lines), ``removed`` (sorted spans of the original text, in bytes,
-    each with start and end). Lines compare in lower case with single spaces; lines of fewer than
-    ``min_words`` words always stay. The earliest occurrence is that of the smallest doc_id (null
-    ids last), then the earliest line. Repeated rows (same id and text) are one document and are
+    Added columns (they replace columns of the same name): ``n_units`` (lines of the text), ``removed`` (sorted spans of the
+    original text in bytes, apart from one another, each with start and end). Units are those of ``spans_of``; they compare
+    in lower case (ASCII) with single spaces. The earliest occurrence is that of the smallest doc_id (null ids last), then the
+    earliest start, whatever the size of the unit around it; all others go. A line of which nothing is left goes with its newline.
+    Repeated rows (same id and text) are one document and are
     treated alike. Null and empty texts: nothing removed, null stays null. Empty table: no rows.
     """
     small_batches(docs.sparkSession)
+    docs, names = guarded(docs, "doc_id", "text")
     docs = keyed(docs)
-    spans = (repeats(stored(units(docs, min_words))).distinct().groupBy("doc_id", "_key")
+    spans = (repeats(stored(units(docs, sentence_words, block_words))).distinct().groupBy("doc_id", "_key")
              .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed")))
     joined = (docs.withColumnRenamed("doc_id", "_id")
               .join(spans.withColumnRenamed("_key", "_spans_of"),
                     F.col("_id").cast("long").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("_spans_of")), "left")
               .drop("doc_id", "_key", "_spans_of").withColumnRenamed("_id", "doc_id"))
-    return cut(joined)
+    return given_back(cut(joined), names, "n_units", "removed")
+
+
+def joined_spans(text: bytes, spans: list[dict]) -> list[tuple[int, int]]:
+    """Overlapping and touching spans as one; a line that is wholly covered loses its newline as well."""
+    out: list[list[int]] = []
+    for span in spans:
+        if out and span["start"] <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], span["end"])
+        else:
+            out.append([span["start"], span["end"]])
+    whole: list[tuple[int, int]] = []
+    for start, end in out:
+        if text[end:end + 1] == b"\n" and (start == 0 or text[start - 1:start] == b"\n"):
+            end += 1
+        if whole and whole[-1][1] == start:
+            start = whole.pop()[0]
+        whole.append((start, end))
+    return whole
 
 
 def cut(docs: DataFrame) -> DataFrame:
     """Take the spans in ``removed`` out of ``text``."""
-    names = [c for c in docs.columns if c not in ("text", "removed", "n_units")]
     order = [c for c in docs.columns if c not in ("removed", "n_units")]
+    names = [c for c in order if c != "text"]
     rows = docs.select(*names, F.col("text").isNull().alias("_none"), text_bytes(docs).alias("_text"),
                        F.coalesce("removed", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("removed"))
+    pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "_text"):
-            texts, lines = [], []
+            texts, lines, removed = [], [], []
             for none, text, spans in zip(*(batch.column(c).to_pylist() for c in ("_none", "_text", "removed"))):
+                spans = joined_spans(text, spans)
                 parts, at = [], 0
-                for span in spans:
-                    parts.append(text[at:span["start"]])
-                    at = span["end"]
+                for start, end in spans:
+                    parts.append(text[at:start])
+                    at = end
                 kept = b"".join([*parts, text[at:]])
-                if spans and spans[-1]["end"] == len(text) and not text.endswith(b"\n"):
+                if spans and spans[-1][1] == len(text) and not text.endswith(b"\n"):
                     kept = kept.removesuffix(b"\n")  # the newline before a last line that went
                 texts.append(None if none else kept.decode("utf-8", "replace"))
                 lines.append(text.count(b"\n") + 1 if text else 0)
+                removed.append([{"start": a, "end": b} for a, b in spans])
             columns = {n: batch.column(n) for n in names} | {"text": pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([*(columns[n] for n in order), pa.array(lines, pa.int32()), batch.column("removed")],
+            yield pa.RecordBatch.from_arrays([*(columns[n] for n in order), pa.array(lines, pa.int32()), pa.array(removed, pairs)],
                                              names=[*order, "n_units", "removed"])
 
     fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in order)
@@ -124,22 +177,3 @@ def digest_rows(kept: DataFrame) -> DataFrame:
 def changed_length(kind) -> Column:
     """``n_chars`` of the text as it is now, where lines were removed; the given value elsewhere."""
     return F.when(F.size("removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-
-
-SQL = """
-WITH split AS (
-  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-unit AS (
-  SELECT doc_id, text, u - 1 AS unit, lines[u] AS line, len(lines) AS n,
-         trim(regexp_replace(translate(lines[u], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                             '[ \\t\\r\\x0b\\x0c]+', ' ', 'g'), ' ') AS norm
-  FROM split, unnest(range(1, len(lines) + 1)) AS r(u)),
-marked AS (
-  SELECT *, len(string_split(norm, ' ')) >= 10 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS gone
-  FROM unit)
-SELECT doc_id, CAST(CASE WHEN any_value(text) = '' THEN 0 ELSE max(n) END AS INTEGER) AS n_units,
-       CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS INTEGER) AS n_removed,
-       CAST(sum(CASE WHEN gone THEN strlen(line) + CASE WHEN unit < n - 1 THEN 1 ELSE 0 END ELSE 0 END) AS BIGINT) AS removed_bytes,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY unit) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
-"""

@@ -56,13 +56,10 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def op7_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document without the lines that an earlier document or line has."""
+    """Every document without the paragraphs, lines and sentences that stand earlier."""
     return lines.digest_rows(lines.dedup(read(spark, folder, "documents")))
 
 
-SQL["op7_lines"] = lines.SQL
-
-
 @registered
 def op2_pages(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
