@@ -39,26 +39,28 @@ def byte_bpe(path: str):
 
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
-    special = {x["content"] for x in model.get("added_tokens", ())}
+    special = {x["content"]: x["id"] for x in model.get("added_tokens", ())}
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
     byte_of = {chr(b): b for b in shown}
     byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
     ranks = {bytes(byte_of[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in special}
     # The usual pre-tokenising pattern of byte-level BPE (a fixed value).
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
 class CachedEncoder:
     """Token ids of many texts at once; each different stretch between spaces is encoded once.
 
     Texts are cut before single spaces and around single newlines, where a byte-level BPE
-    always begins a new word. Stretches are found again by a 64-bit hash.
+    always begins a new word. Stretches are found again by a 64-bit hash. The strings of special tokens
+    (which hold no white space) stand for these tokens, as the ``tokenizers`` library has it by default.
     """
 
-    def __init__(self, encode, limit: int = 1_000_000):
-        self.encode, self.limit = encode, limit
-        self.newline = encode("\n")[0]
+    def __init__(self, encoding, limit: int = 1_000_000):
+        self.encode, self.special, self.limit = encoding.encode_ordinary, encoding.special_tokens_set, limit
+        self.with_special = lambda text: encoding.encode(text, allowed_special="all")
+        self.newline = self.encode("\n")[0]
         self.clear()
 
     def clear(self) -> None:
@@ -71,8 +73,9 @@ class CachedEncoder:
         """Encode new stretches: those without newlines or white space at their ends, but for one space before, in one go, one a line."""
         texts = [x.decode("utf-8", "replace") for x in spans]
         # Other white space after the joining newline would make one token with it.
-        plain = np.array([x != "" and "\n" not in x and not x[-1].isspace() and not x.removeprefix(" ")[0].isspace()
-                          for x in texts], bool)
+        special = [any(s in x for s in self.special) for x in texts]
+        plain = np.array([x != "" and "\n" not in x and not x[-1].isspace() and not x.removeprefix(" ")[0].isspace() and not own
+                          for x, own in zip(texts, special)], bool)
         joined = np.array(self.encode("\n".join([x for x, k in zip(texts, plain.tolist()) if k])), np.uint32)
         line_ends = np.append(np.flatnonzero(joined == self.newline), len(joined))
         line_starts = np.concatenate(([0], line_ends[:-1] + 1))
@@ -81,7 +84,7 @@ class CachedEncoder:
             at[plain], size[plain] = len(self.ids) + line_starts, line_ends - line_starts
         held = len(self.ids) + len(joined)
         for k in np.flatnonzero(~plain):
-            grown.append(np.array(self.encode(texts[k]), np.uint32))
+            grown.append(np.array((self.with_special if special[k] else self.encode)(texts[k]), np.uint32))
             at[k], size[k] = held, len(grown[-1])
             held += len(grown[-1])
         self.ids = np.concatenate(grown)
