@@ -8,10 +8,14 @@ import corpus_pipeline
 from lopside.llm.queries import vocabulary
 from test_dart import brute as brute_classes
 from test_decontaminate import brute as brute_leaks
+from test_lines import brute as brute_lines
 
 FOLDER = "/root/testdata/sf0.001"
 
 
+CLASHING = ["held_out", "_text", "_of", "_id", "removed", "_key", "score", "unit", "node", "label", "start", "n_units", "_toxicity"]
+
+
 def ids(df):
     return {r.doc_id for r in df.select("doc_id").collect()}
 
@@ -36,25 +40,14 @@ def test_stages_against_brute_force(spark):
         elif name == "near_dedup":
             assert left == {c for _, c in brute_classes(before)}
         elif name == "line_dedup":
-            seen, want = set(), {}
-            for i, text in sorted(before):
-                kept, gone = [], False
-                for line in (text or "").split("\n"):
-                    key = " ".join(line.lower().split())
-                    repeat = len(key.split()) >= 10 and key in seen
-                    seen.add(key)
-                    gone |= repeat
-                    if not repeat:
-                        kept.append(line)
-                if not gone or "\n".join(kept).strip(" "):
-                    want[i] = "\n".join(kept)
+            given = {i: t or "" for i, t in before}
+            want = {i: kept for i, (kept, _) in brute_lines(before).items() if kept == given[i] or kept.strip(" ")}
             assert texts == want and all(r.n_chars == len(r.text) for r in after.collect() if r.text != dict(before)[r.doc_id])
         else:
             assert left == {i for i, _ in before} - {d for d, *_ in brute_leaks(before, items)}
         docs = after
     from tokenizers import Tokenizer
     encode = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    encode.encode_special_tokens = True
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     tokens = {i: np.array([*encode.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes() for i, t in before}
     assert {r.doc_id for r in rows} == set(tokens)
@@ -70,9 +63,10 @@ def test_stages_against_brute_force(spark):
 
 
 def test_odd_rows_go_through(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, unit string, node int, _path int"
-    rows = [(None, None, None, None, None, None, None, None), (1, "", None, "s", 0, "u", 1, 2), (1, "", None, "s", 0, "u", 1, 2),
-            (2, "word " * 50000, "en", None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
+    clash = [f"own {c}" for c in CLASHING]
+    rows = [(None, None, None, None, None, *[None] * len(clash)), (1, "", None, "s", 0, *clash), (1, "", None, "s", 0, *clash),
+            (2, "word " * 50000, "en", None, None, *clash)]
     for table in (rows, []):
         docs = spark.createDataFrame(table, schema)
         for name, stage in corpus_pipeline.STAGES:
@@ -80,4 +74,5 @@ def test_odd_rows_go_through(spark):
             if name != "packing":
                 assert out.columns == docs.columns
                 docs = corpus_pipeline.stored(out)
+                assert all(r[c] in (None, f"own {c}") for r in docs.collect() for c in CLASHING)
         assert (out.count() > 0) == bool(table)
