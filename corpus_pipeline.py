@@ -5,34 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lopside.llm import dart, decontaminate, lines, packing, toxicity
-from lopside.llm.common import read, stored
+from lopside.llm.common import given_back, guarded, read, stored
 from lopside.llm.queries import vocabulary
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled rows among them, does not call toxic."""
     model = toxicity.train(docs, read(spark, folder, "labels"))
-    scored = toxicity.score(docs, model, to="_toxicity")
-    return scored.filter("_toxicity < 0.5").select(*docs.columns)
+    given, names = guarded(docs, "doc_id", "text")
+    return given_back(toxicity.score(given, model).filter("score < 0.5"), names)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document of the least id of each near-duplicate class."""
-    return dart.first_of_each(docs)
+    given, names = guarded(docs, "doc_id", "text")
+    return given_back(dart.first_of_each(given), names)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents without lines that an earlier one has; ``n_chars`` follows the text, emptied documents go."""
-    kept = lines.dedup(docs)
-    out = kept.filter("size(removed) = 0 or trim(text) <> ''")
+    """Documents without paragraphs, lines and sentences that stand earlier; ``n_chars`` follows the text, emptied documents go."""
+    given, names = guarded(docs, "doc_id", "text", "n_chars")
+    out = lines.dedup(given).filter("size(removed) = 0 or trim(text) <> ''")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", lines.changed_length(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return given_back(out, names)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    return decontaminate.clean(docs, read(spark, folder, "benchmark")).select(*docs.columns)
+    given, names = guarded(docs, "doc_id", "text")
+    return given_back(decontaminate.clean(given, read(spark, folder, "benchmark")), names)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
