@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lopside.operators.lookups import small_rows
 from lopside.operators.splits import class_weights, hash_key, with_class_weight
+from lopside.plans.forest import BootstrapForest
 from lopside.plans.stages import TabularEncoder
 
 SEED = 42
@@ -47,10 +47,8 @@ def linear_svc(n: float, max_iter: int = 100, **kw) -> LinearSVC:
                      maxIter=max_iter, **kw)
 
 
-def forest(n: float, trees: int = 150, leaf: int = 5, depth: int = 15, **kw) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        labelCol="_y", weightCol="_w", numTrees=trees, minInstancesPerNode=leaf, maxDepth=depth,
-        maxBins=256, featureSubsetStrategy="sqrt", seed=SEED, **kw)
+def forest(n: float, trees: int = 150, leaf: int = 5, **kw) -> BootstrapForest:
+    return BootstrapForest(trees, leaf, seed=SEED, **kw)
 
 
 def boosting(n: float, rounds: int = 100, depth: int = 3, **kw) -> GBTClassifier:
@@ -71,7 +69,7 @@ def positive_probability(probability: str = "probability") -> Column:
 def placed(rows: DataFrame, n: int) -> DataFrame:
     """Deal the training rows out by a hash of each row, in its order.
 
-    A forest draws its bootstrap partition by partition, so the same rows must meet in the
+    Spark's boosting sums floating-point numbers partition by partition, so the same rows must meet in the
     same partitions: they do, whatever files, cores or partitions the table came in.
     """
     return rows.repartition(-(-max(n, 1) // TASK_ROWS), "_key").sortWithinPartitions("_key")
@@ -83,11 +81,15 @@ def fit_tabular(train: DataFrame, label: str, categorical: list[str], numeric: l
     """Encoder and learner, fitted on the training rows only.
 
     ``learner`` is given the rows' total weight, by which a penalty is scaled, so a row of
-    weight 2 counts as two rows in the losses and in the penalty.
+    weight 2 counts as two rows in the losses and in the penalty. A forest balances the classes
+    in each of its bootstraps instead, and takes no sample weights.
     """
     encoder = TabularEncoder(categorical, numeric).fit(train)
+    draws = isinstance(learner(1.0), BootstrapForest)
+    if draws and sample_weight is not None:
+        raise ValueError("a forest draws whole rows; it takes no sample weights")
     weight = F.lit(1.0) if sample_weight is None else sample_weight
-    if balanced:
+    if balanced and not draws:
         train = with_class_weight(train, label, "_balance")
         weight = weight * F.col("_balance")
     key = F.col(row_id) if row_id else F.struct(*categorical, *numeric, label)
@@ -97,7 +99,12 @@ def fit_tabular(train: DataFrame, label: str, categorical: list[str], numeric: l
         check.alias("_check"), hash_key(F.to_json(F.struct(key.alias("k"))), "place").alias("_key")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sums = rows.agg(F.count("*").alias("n"), F.sum("_w").alias("w")).first()
-        model = learner(sums["w"] or 0.0).fit(placed(rows, sums["n"]).drop("_key"))
+        estimator = learner(sums["w"] or 0.0)
+        if draws:
+            estimator.balanced = balanced
+            model = estimator.fit(rows)
+        else:
+            model = estimator.fit(placed(rows, sums["n"]).drop("_key"))
     finally:
         rows.unpersist()
     return PipelineModel([encoder, model])

@@ -10,7 +10,7 @@ from lopside.functions.numbers import money_text
 from lopside.operators.splits import stratified_split
 from lopside.plans.learners import logistic, score_tabular
 from lopside.plans.training import train_churn
-from lopside.queries.registry import held_out_sql, query
+from lopside.queries.registry import query
 from lopside.session import durable, shared_folder
 from lopside.sources import readers as R
 from lopside.sources import sinks
@@ -91,9 +91,7 @@ def _sound_bundle(both):
                        (F.col("threshold") == F.col("fitted_threshold")).alias("threshold_kept"))
 
 
-@query("scores_from_saved_bundle", "S09 S10 S13 Q04", sql=f"""with {held_out_sql('churn', 'Exited', 'CustomerId')}
-  select CustomerId, true as same_as_fitted, true as threshold_kept from flagged where in_test""",
-       check=_sound_bundle)
+@query("scores_from_saved_bundle", "S09 S10 S13 Q04", holds=_sound_bundle)
 def _(t):
     """Train, save, load again, and score the held-out customers with the loaded model."""
     folder = fresh(t, "bundle")

@@ -24,8 +24,8 @@ from lopside.plans.learners import (boosting, fit_tabular, forest, impurity_impo
                                     score_tabular)
 from lopside.plans.stages import ALL_TERMS, TextTfidf
 from lopside.queries.audits import FLAGGED
-from lopside.queries.registry import SOUND, held_out_sql, query, rounded, sound_results
-from lopside.queries.texts import TOKENS, sql_list, stop_words
+from lopside.queries.registry import query, rounded, sound_results
+from lopside.queries.texts import TOKENS, stop_words
 from lopside.session import durable
 from lopside.sources.standins import CHURN_CATEGORICAL, CHURN_NUMERIC
 
@@ -70,40 +70,25 @@ def _(t):
         "row_id", F.round(raw[0] + shift["ham"], 4).alias("ham"), F.round(raw[1] + shift["spam"], 4).alias("spam"))
 
 
-def _models_sql(names, rows: str) -> str:
-    return f"select unnest({sql_list(names)}) as model, (select count(*) from {rows}) as n_test, {SOUND}"
-
-
-@query("fraud_learner_comparison", "M09 M02 M04 M06 C04 C06 K01", sql=_models_sql(compare.fraud_learners(), "feat_test"),
-       check=lambda found: sound_results(found, "model"))
+@query("fraud_learner_comparison", "M09 M02 M04 M06 C04 C06 K01", holds=lambda found: sound_results(found, "model"))
 def _(t):
     return compare.compare_tabular(*t.feature_parts, "is_fraud", CATEGORICAL, NUMERIC,
                                    compare.fraud_learners(), "row_id")
 
 
-@query("fraud_ablation", "M10 P21 M04", sql=f"""
-  select unnest(['full (9 features)', 'identity-free', 'transaction-only']) as feature_set,
-    unnest([{len(FEATURES)}, {len(IDENTITY_FREE)}, {len(TRANSACTION_ONLY)}]) as n_features,
-    (select count(*) from feat_test) as n_test, {SOUND}""",
-       check=lambda found: sound_results(found, "feature_set", "n_features"))
+@query("fraud_ablation", "M10 P21 M04", holds=lambda found: sound_results(found, "feature_set", "n_features"))
 def _(t):
     sets = {"full (9 features)": FEATURES, "identity-free": IDENTITY_FREE, "transaction-only": TRANSACTION_ONLY}
     return compare.ablation(*t.feature_parts, "is_fraud", sets, CATEGORICAL, "row_id")
 
 
-CHURN_TEST = f"with {held_out_sql('churn', 'Exited', 'CustomerId')}"
-
-
-@query("churn_learner_comparison", "M09 M02 M04 M05 C07",
-       sql=f"{CHURN_TEST} {_models_sql(compare.churn_learners(), 'flagged where in_test')}",
-       check=lambda found: sound_results(found, "model"))
+@query("churn_learner_comparison", "M09 M02 M04 M05 C07", holds=lambda found: sound_results(found, "model"))
 def _(t):
     return compare.compare_tabular(*churn_parts(t), "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC,
                                    compare.churn_learners(), "CustomerId", order="roc_auc")
 
 
-@query("churn_training", "M05 L06 E11 S13", sql=f"""{CHURN_TEST}
-  select (select count(*) from flagged where in_test) as n_test, {SOUND}""", check=sound_results)
+@query("churn_training", "M05 L06 E11 S13", holds=sound_results)
 def _(t):
     return training.train_churn(durable(t.churn), "CustomerId", "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC).metrics
 
@@ -112,8 +97,7 @@ def _sound_cost(metrics):
     return sound_results(metrics).withColumn("false_alarm_cost", metrics.select("false_alarm_cost").scalar())
 
 
-@query("fraud_training", "M04 E12 E15 L02", sql=f"""
-  select (select count(*) from txn_test) as n_test, {SOUND}, 5.0e0 as false_alarm_cost""", check=_sound_cost)
+@query("fraud_training", "M04 E12 E15 L02", holds=_sound_cost)
 def _(t):
     return training.train_fraud(*t.txn_parts).metrics
 
@@ -124,12 +108,7 @@ def _sound_shares(found):
                         (F.abs(total - 1) < 1e-6).alias("sum_to_one"))
 
 
-@query("churn_impurity_importance", "I02 C05 M05", sql=f"""{CHURN_TEST},
-  seen as (select * from flagged where not in_test),
-  names as (select concat('Geography_', Geography) as feature from seen where Geography > (select min(Geography) from seen)
-    union select concat('Gender_', Gender) from seen where Gender > (select min(Gender) from seen)
-    union all select unnest({sql_list(CHURN_NUMERIC)}))
-  select feature, true as in_range, true as sum_to_one from names""", check=_sound_shares)
+@query("churn_impurity_importance", "I02 C05 M05", holds=_sound_shares)
 def _(t):
     train, _ = churn_parts(t)
     model = fit_tabular(train, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, boosting)
@@ -141,13 +120,7 @@ def _sound_importance(found):
                         (F.col("std") >= 0).alias("has_spread"))
 
 
-def _importance_sql(columns, repeats: int) -> str:
-    return (f'select unnest({sql_list(columns)}) as "column", cast({repeats} as bigint) as repeats, '
-            "true as in_range, true as has_spread")
-
-
-@query("churn_permutation_importance", "I01 M08", sql=_importance_sql([*CHURN_CATEGORICAL, *CHURN_NUMERIC], 15),
-       check=_sound_importance)
+@query("churn_permutation_importance", "I01 M08", holds=_sound_importance)
 def _(t):
     train, test = churn_parts(t)
     model = fit_tabular(train, "Exited", CHURN_CATEGORICAL, CHURN_NUMERIC, boosting)
@@ -155,7 +128,7 @@ def _(t):
                                   [*CHURN_CATEGORICAL, *CHURN_NUMERIC], "roc_auc", repeats=15)
 
 
-@query("fraud_permutation_importance", "I01 L05 J04", sql=_importance_sql(FEATURES, 5), check=_sound_importance)
+@query("fraud_permutation_importance", "I01 L05 J04", holds=_sound_importance)
 def _(t):
     train, test = t.feature_parts
     model = fit_tabular(train, "is_fraud", CATEGORICAL, NUMERIC, forest, True)
@@ -214,8 +187,7 @@ def _(t):
     return training.train_messages(durable(t.sms_unique)).metrics
 
 
-@query("amount_weighted_learner", "N04 M02", sql=_models_sql(["amount weighted"], "feat_test"),
-       check=lambda found: sound_results(found, "model"))
+@query("amount_weighted_learner", "N04 M02", holds=lambda found: sound_results(found, "model"))
 def _(t):
     train, test = t.feature_parts
     model = fit_tabular(train, "is_fraud", CATEGORICAL, NUMERIC, logistic, sample_weight=F.col("amt"))
@@ -241,8 +213,7 @@ def _sound_folds(found):
                         ((F.col("roc_auc_std") > 0) & (F.col("average_precision_std") > 0)).alias("has_spread"))
 
 
-@query("repeated_fold_metrics", "N06 L04", sql="""
-  select cast(15 as bigint) as fits, true as auc_in_range, true as ap_in_range, true as has_spread""", check=_sound_folds)
+@query("repeated_fold_metrics", "N06 L04", holds=_sound_folds)
 def _(t):
     return extras.repeated_folds(durable(t.churn), "Exited", "CustomerId", CHURN_CATEGORICAL, CHURN_NUMERIC)
 
@@ -254,9 +225,7 @@ def _sound_classes(report):
         "label", F.col("support").cast("bigint").alias("support"), (F.abs(F.col("f1") - f1) < 1e-9).alias("f1_follows"))
 
 
-@query("word_and_char_union", "N07 M03", sql=f"""with {held_out_sql('sms_unique', 'label', 'row_id')}
-  select label, count(*) as support, true as f1_follows from flagged where in_test group by label""",
-       check=_sound_classes)
+@query("word_and_char_union", "N07 M03", holds=_sound_classes)
 def _(t):
     train, test = stratified_split(durable(t.sms_unique), "label", "row_id", 0.2)
     vectors = extras.word_and_char_vectors("message")(train)

@@ -150,9 +150,9 @@ def test_stream_keeps_the_first_of_each_message(spark, tmp_path):
 
 def test_fraud_threshold_modes(tables, tmp_path):
     train, test = tables.txn_parts
-    chosen = training.train_fraud(train, test, trees=10, depth=5)
-    flattering = training.train_fraud(train, test, trees=10, depth=5, tune_on="test")
-    given = training.train_fraud(train, test, trees=10, depth=5, threshold=0.19)
+    chosen = training.train_fraud(train, test, trees=10)
+    flattering = training.train_fraud(train, test, trees=10, tune_on="test")
+    given = training.train_fraud(train, test, trees=10, threshold=0.19)
     assert given.threshold == 0.19 and 0.05 <= chosen.threshold <= 0.95
     best = flattering.metrics.first()["net_saving"]
     assert best >= given.metrics.first()["net_saving"] - 1e-6

@@ -1,8 +1,9 @@
-"""Queries whose SQL holds only checks also have their results, with the values a user asks for."""
+"""Queries of fitted models, which have no SQL: their values, and what is true of any fit."""
 
 import pytest
 
 from lopside.queries import QUERIES, SQL
+from lopside.queries.registry import HOLDS
 
 METRICS = {"precision", "recall", "f1", "roc_auc", "baseline_accuracy", "n_test"}
 RESULTS = {
@@ -18,14 +19,18 @@ RESULTS = {
     "stream_scored_transactions": {"row_id", "p", "decision"}, "scores_from_saved_bundle": {"CustomerId", "p", "threshold"}}
 
 
-def test_each_check_has_its_results():
-    assert {n for n in SQL if "true as" in SQL[n]} <= set(RESULTS)
-    assert all(f"{n}_results" in QUERIES and f"{n}_results" not in SQL for n in RESULTS)
+def test_no_sql_of_constants():
+    assert not {n for n in SQL if "true as" in SQL[n]} and set(HOLDS) == set(RESULTS)
 
 
 @pytest.mark.parametrize("name", sorted(RESULTS))
 def test_results(name, spark, small):
-    found = QUERIES[f"{name}_results"](spark, small)
+    """The values a user asks for are there, and what holds for any fitted model holds."""
+    found = QUERIES[name](spark, small).cache()
     assert RESULTS[name] <= set(found.columns)
     rows = found.toPandas()
     assert len(rows) and rows[sorted(RESULTS[name])].notna().all().all()
+    checks = HOLDS[name](found)
+    truths = [c for c, kind in checks.dtypes if kind == "boolean"]
+    assert truths and all(all(r[c] is True for c in truths) for r in checks.collect())
+    found.unpersist()
