@@ -45,7 +45,8 @@ def compress(ids: np.ndarray, starts: np.ndarray, least: int = 8, share: int = 3
     """The grammar of ``ids``; ``starts`` are the places where pieces begin, the first at 0.
 
     A round counts all pairs and replaces those at least a ``share``-th as frequent as the most
-    frequent one, from left to right. Pairs found fewer than ``least`` times stay.
+    frequent one, from left to right. Pairs found fewer than ``least`` times stay (on prose, rules
+    for rarer pairs took more room than they saved: 9.7 bits an id at 4, 9.2 at 8).
     Empty ids: an empty grammar.
     """
     n = len(ids)
@@ -142,16 +143,19 @@ def stretch(grammar: Grammar, lengths: np.ndarray, piece: int, start: int, lengt
 
 
 def _packed(values: np.ndarray, width: int) -> bytes:
-    bits = (values.astype(np.uint64)[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    """Values of ``width`` bits (56 at most) on end, the lowest bit first."""
+    raw = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :-(-width // 8)]
+    bits = np.unpackbits(raw, axis=1, bitorder="little")[:, :width]
+    return np.packbits(bits.ravel(), bitorder="little").tobytes()
 
 
 def _unpacked(data: memoryview, count: int, width: int) -> tuple[np.ndarray, int]:
     size = -(-count * width // 8)
-    bits = np.unpackbits(np.frombuffer(data[:size], np.uint8), count=count * width, bitorder="little")
-    out = np.zeros(count, np.int64)
-    for k in range(width):
-        out |= bits[k::width].astype(np.int64) << k
+    padded = np.zeros(size + 8, np.uint8)
+    padded[:size] = np.frombuffer(data[:size], np.uint8)
+    words = np.ndarray(size + 1, "<u8", padded, strides=(1,))  # the eight bytes from every place on
+    first = np.arange(count, dtype=np.int64) * width
+    out = ((words[first >> 3] >> (first & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)).astype(np.int64)
     return out, size
 
 

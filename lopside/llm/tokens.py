@@ -9,6 +9,7 @@ and a reader of lengths alone does not touch the ids.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import zlib
@@ -39,6 +40,9 @@ _LATIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]+$"
 _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: b for b in _PRINTS} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 _LETTERS = {c: "".join(chr(_SHOWN[b]) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[65:91] += 32
+_FOLDED[9:14] = 32
 _CUT = np.zeros((256, 256), bool)  # by the bytes before and after: whether a token always ends there
 for _a in range(256):
     for _b in range(256):
@@ -65,6 +69,8 @@ class PieceEncoder:
         kinds = [[x["type"] for x in (steps[k] or {}).get(part, ())]
                  for k, part in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         self.plain = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]
+        self.special = [x["content"].encode() for x in steps.get("added_tokens", ())]
+        self.plain = self.plain and all(len(x) > 1 and not x[:2].isalnum() for x in self.special)
         self.limit, self.longest = limit, longest
         self.clear()
 
@@ -72,6 +78,12 @@ class PieceEncoder:
         self.known: dict[bytes, int] = {}
         self.at, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
+    @staticmethod
+    def _stands_in(data: np.ndarray, string: bytes) -> bool:
+        """Whether a special token's string, in any case, may stand in the data: its first two bytes do."""
+        a, b = np.frombuffer(string[:2], np.uint8)
+        return bool(((data[:-1] == a) & (data[1:] == b)).any())
+
     def _encode(self, pieces: pa.Array) -> list[list[int]]:
         try:
             texts = pieces.cast(pa.large_string())
@@ -81,8 +93,10 @@ class PieceEncoder:
         latin = pc.match_substring_regex(words, _LATIN).to_numpy(zero_copy_only=False) & self.plain
         out = np.empty(len(pieces), object)
         model = self.tokenizer.model.tokenize
+        gc.disable()  # many small lists and no cycles
         for k, word in zip(np.flatnonzero(latin).tolist(), pc.utf8_lower(words.filter(pa.array(latin))).to_pylist()):
             out[k] = [x.id for x in model(word if word.isascii() else word.translate(_LETTERS))]
+        gc.enable()
         rest = texts.filter(pa.array(~latin)).to_pylist()
         for k, e in zip(np.flatnonzero(~latin).tolist(), self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             out[k] = e.ids
@@ -97,6 +111,8 @@ class PieceEncoder:
         begins[1:-1] = _CUT[data[:-1], data[1:]]
         begins[offsets] = True
         starts = np.flatnonzero(begins)  # the last one is the end
+        if self.plain and not any(self._stands_in(data, x) for x in self.special):
+            data = _FOLDED[data]  # letters and white space that the tokenizer does not tell apart
         column = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)])
         coded = column.dictionary_encode()
         pieces = coded.dictionary.to_pylist()
@@ -158,7 +174,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = 2, block: int = BLOCK
     their texts. Null and empty texts: the end id alone. Repeated rows: each a document. A text of any
     length is one document in one segment of many blocks. Empty table: no rows. Other columns are ignored.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 2000)
     schema = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()),
                         ("doc_id", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())), ("blocks", pa.list_(pa.binary()))])
 
@@ -166,7 +182,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = 2, block: int = BLOCK
         encode, shard = encoder(tokenizer), TaskContext.get().partitionId()
         number, first, held = 0, 0, 0
         doc_ids, counts, ids = [], [], []
-        for batch in text_slices(batches, "_text", 2 << 20):
+        for batch in text_slices(batches, "_text", 6 << 20):
             flat, sizes = encode(*flat_bytes(batch.column("_text")))
             flat = np.insert(flat, np.cumsum(sizes), np.uint32(end_id))
             doc_ids += batch.column("doc_id").to_pylist()
