@@ -48,3 +48,42 @@ def test_whole_table(spark):
         blocks = [" ".join(entities.unescape(re.sub(r"<[^>]+>", " " if False else "", re.sub(r"<br>", " ", b))).split())
                   for b in re.split(r"</?(?:p|h1)>", body)]
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def text_of(page):
+    return pages.extract(pages.blocks(pages.parse(page)), None)
+
+
+def test_a_class_word_does_not_outweigh_an_article():
+    article = "<h1>Title</h1>" + "".join(f"<p>Paragraph {k} of the story, with some words in it.</p>" for k in range(6))
+    want = "Title\n" + "\n".join(f"Paragraph {k} of the story, with some words in it." for k in range(6))
+    rest = "<nav><a href=/>Home</a></nav><div class=sidebar><p>Other stories that you may like, of all kinds.</p></div>"
+    for name in ("content has-sidebar", "post no-ads", "entry with-comments", "story legal", "more", "article-tags", "form", "page-sidebar", "post comments-open"):
+        page = f"<body>{rest}<div class='{name}'>{article}</div><div class=footer><p>All rights are reserved here.</p></div></body>"
+        assert text_of(page) == want, name
+        assert text_of(f"<body>{rest}<article>{article.replace('<p>', f'<p class={name.split()[-1]!r}>', 1)}</article></body>") == want or (
+            name == "page-sidebar"), name
+    assert text_of(f"<form id=aspnet>{rest}<div class=x>{article}</div></form>") == want
+
+
+def test_headers_formulas_and_comments_of_an_article():
+    assert text_of("<article><div class=entry-header><h1>Title</h1></div><p>Words of it.</p></article>") == "Title\nWords of it."
+    assert text_of("<div class=entry><div class=entry-header><h1>Title</h1></div><p>Words of it.</p></div>") == "Title\nWords of it."
+    assert text_of("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == "So x=2 holds."
+    assert text_of("<article><p>Before <svg><path d=x> after it.</p><video src=y><p>More words.</p></article>") == "Before after it.\nMore words."
+    assert text_of("<article><p>In <svg><text>no</text></svg>side.</p></article>") == "In side."
+    talk = "".join(f"<p>Reader {k} says a lot more than the article itself does, on and on.</p>" for k in range(40))
+    for name in ("comments", "comment-list", "user-comments"):
+        assert text_of(f"<body><div class=post><p>A short article.</p></div><section class='{name}'>{talk}</section></body>") == "A short article."
+    assert text_of("<body><div class=ad><p>Buy it now, buy all of it.</p></div></body>") == ""
+
+
+def test_deep_pages_and_clashing_columns(spark):
+    deep = "<div>" * 10_000 + "<p>Deep words.</p>" + "</div>" * 10_000 + "<p>After.</p>"
+    stairs = "".join(f"<div><p>Step {k}.</p>" for k in range(1500))
+    html = {0: deep, 1: stairs}
+    df = spark.createDataFrame([(k, "u", h, "a", 7, "p") for k, h in html.items()],
+                               "page_id long, url string, html string, _host string, _salt int, _path string")
+    out = {r.page_id: r for r in pages.main_text(df).collect()}
+    assert "Deep words." in out[0].text and "Step 1499." in out[1].text
+    assert all((r["_host"], r["_salt"], r["_path"]) == ("a", 7, "p") for r in out.values())
