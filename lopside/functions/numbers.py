@@ -23,6 +23,11 @@ def ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0))
 
 
+def alarms_per_hit(precision: Column) -> Column:
+    """Alarms raised for each case caught, 1 / precision; null where none is caught."""
+    return F.try_divide(F.lit(1.0), precision)
+
+
 def count_when(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("bigint")
 

@@ -27,6 +27,21 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     return facts.withColumn("_salt", spread).join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def split_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], count: str, heavy_rows: int = 100_000,
+               most: int = 100_000) -> DataFrame:
+    """Join a stored table to a lookup of unique keys whose column ``count`` holds the rows of each key in ``facts``.
+
+    Keys of more than ``heavy_rows`` rows and more than the ``most``-th part of all rows are broadcast; they are
+    fewer than ``most``, whatever the data. The rest are shuffled by key, and none of them is hot.
+    """
+    on = list(on)
+    limit = max(heavy_rows, facts.count() // most)
+    hot = durable(lookup.filter(F.col(count) > limit))
+    light = facts.join(F.broadcast(hot.select(*on)), on, "left_anti").join(lookup.filter(F.col(count) <= limit), on)
+    heavy = facts.join(F.broadcast(hot), on)
+    return light.unionByName(heavy.select(*light.columns))
+
+
 def _is_small(table: DataFrame, limit: int) -> bool:
     return table.limit(limit + 1).count() <= limit
 

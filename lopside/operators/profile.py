@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 from lopside.functions.numbers import count_when, ratio
 from lopside.operators.lookups import attach, small_rows
@@ -27,6 +27,12 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
+def key_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Keys to group by, named ``_key0``.. : of a text its 256-bit digest, so that long texts are not shuffled as keys."""
+    texts = {f.name for f in df.schema.fields if f.dataType == StringType()}
+    return [(F.sha2(F.col(c), 256) if c in texts else F.col(c)).alias(f"_key{i}") for i, c in enumerate(keys)]
+
+
 # ---- sizes and quality ----------------------------------------------------------------
 
 def table_size(df: DataFrame) -> DataFrame:
@@ -74,30 +80,34 @@ def duplicates_by_class(df: DataFrame, key: str, label: str, order: str) -> Data
     Copies are counted, never listed: per (key, class) first, then the class of
     each key's first row is taken away.
     """
-    sizes = df.groupBy(key, label).agg(F.count("*").alias("n"), F.min(order).alias("_first"))
-    firsts = (sizes.groupBy(key).agg(F.min(F.struct("_first", label)).alias("f"))
+    sizes = df.groupBy(*key_columns(df, [key]), label).agg(F.count("*").alias("n"), F.min(order).alias("_first"))
+    firsts = (sizes.groupBy("_key0").agg(F.min(F.struct("_first", label)).alias("f"))
               .select(F.col(f"f.{label}").alias(label), F.lit(-1).cast("bigint").alias("n")))
     return (sizes.select(label, "n").unionByName(firsts).groupBy(label)
             .agg(F.sum("n").alias("n_duplicates")).filter("n_duplicates > 0"))
 
 
 def conflicting_labels(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Keys that carry more than one label."""
-    pairs = df.select(key, label).na.drop().distinct()
-    return (pairs.groupBy(key).agg(F.count("*").alias("n_labels")).filter("n_labels > 1"))
+    """Keys that carry more than one label, and of how many.
+
+    Texts are counted by their digests; only those in conflict are shuffled themselves.
+    """
+    keyed = df.select(key, label, *key_columns(df, [key])).na.drop()
+    counts = (keyed.select("_key0", label).distinct().groupBy("_key0").agg(F.count("*").alias("n_labels"))
+              .filter("n_labels > 1"))
+    return attach(keyed.select(key, "_key0"), counts, ["_key0"]).groupBy(key).agg(F.max("n_labels").alias("n_labels"))
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Keep the first row of each key by ``order``.
 
     A minimum over rows combines before the shuffle: a key that owns a third of
-    the table sends one row per task.
+    the table sends one row per task. Text keys are grouped by their digests. Rows
+    without ``order`` come last.
     """
-    rest = [c for c in df.columns if c not in keys and c != order]
-    first = F.min_by(F.struct(*rest), F.col(order)) if rest else None
-    aggregates = [F.min(order).alias(order)] + ([first.alias("_row")] if rest else [])
-    out = df.groupBy(*keys).agg(*aggregates)
-    return out.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
+    place = F.struct(F.col(order).isNull().alias("late"), F.col(order).alias("at"))
+    out = df.groupBy(*key_columns(df, keys)).agg(F.min_by(F.struct(*df.columns), place).alias("_row"))
+    return out.select("_row.*")
 
 
 # ---- class balance ---------------------------------------------------------------------

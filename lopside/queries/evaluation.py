@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lopside.functions.numbers import (FINE_THRESHOLDS, THRESHOLDS, at_least, blank_small, f1_band)
+from lopside.functions.numbers import (FINE_THRESHOLDS, THRESHOLDS, alarms_per_hit, at_least, blank_small, f1_band)
 from lopside.functions.text import shorten
 from lopside.operators import confusion as C
 from lopside.operators import ranking as R
@@ -320,6 +320,18 @@ def _(t):
     return R.order_disagreement(metrics, "model", "roc_auc", "average_precision")
 
 
+@query("alarms_per_hit", "E16 E02", sql="""
+  with c as (select category, count(*) filter (is_fraud = 1 and score >= 0.4) as tp, count(*) filter (score >= 0.4) as alarms
+    from txn group by 1)
+  select category, round(case when alarms > 0 then tp / alarms else 0 end, 6) as "precision",
+    case when tp > 0 then round(alarms / tp, 6) end as alarms_per_hit from c""")
+def _(t):
+    """Precision of each category at a cut of 0.4, and the alarms raised for each case caught."""
+    decided = t.txn.select("category", "is_fraud", at_least(F.col("score"), 0.4).alias("pred"))
+    found = C.binary_report(decided, "is_fraud", "pred", ["category"])
+    return found.select("category", r6("precision").alias("precision"), r6(alarms_per_hit(F.col("precision"))).alias("alarms_per_hit"))
+
+
 @query("error_listing", "P13 I08 F12", sql="""
   select case when is_fraud = 1 then 'missed' else 'false alarm' end as error, row_id, score,
     case when length(category) > 4 then concat(left(category, 4), '...') else category end as shown

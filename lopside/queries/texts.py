@@ -182,8 +182,7 @@ def _(t):
   v as (select term from c group by 1 having count(*) >= 5)
   select row_id, term, tf from c semi join v using (term)""")
 def _(t):
-    counts = V.term_counts(t.sms_unique, "row_id", "message", stop_words=stop_words())
-    return V.lookup_join(counts, V.vocabulary(counts, 5), ["term"]).drop("df")
+    return V.kept_counts(t.sms_unique, "row_id", "message", 5, stop_words=stop_words()).select("row_id", "term", "tf")
 
 
 @query("tfidf_fitted_on_train", "X11 L03", sql=f"""with {FLAGGED},

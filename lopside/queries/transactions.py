@@ -149,7 +149,7 @@ def _(t):
 @query("time_order_check", "L02 L01 A12", sql="""
   select strftime(max(a.trans_date_trans_time), '%Y-%m-%d %H:%M:%S') as train_end,
     (select strftime(min(trans_date_trans_time), '%Y-%m-%d %H:%M:%S') from txn_test) as test_start,
-    max(a.trans_date_trans_time) <= (select min(trans_date_trans_time) from txn_test) as in_order
+    max(a.trans_date_trans_time) < (select min(trans_date_trans_time) from txn_test) as in_order
   from txn_train a""")
 def _(t):
     out = check_time_order(*t.txn_parts, "trans_date_trans_time")

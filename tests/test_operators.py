@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lopside.functions.numbers import alarms_per_hit
 from lopside.operators import confusion as C
 from lopside.operators import encode as E
 from lopside.operators import explain as I
@@ -18,6 +19,7 @@ from lopside.operators import splits as L
 from lopside.operators import thresholds as T
 from lopside.operators import tfidf as V
 from lopside.operators.history import velocity
+from lopside.operators.lookups import split_join
 from lopside.operators.multilabel import coarser, label_scores, subset_accuracy
 
 
@@ -428,3 +430,38 @@ def test_tokens_and_accents_are_those_of_python(spark):
         assert row.w == re.findall(r"\b\w\w+\b", text.lower())
         assert row.s == "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
     assert got[-1].s is None
+
+
+def test_split_join_answers_hot_and_rare_keys_alike(spark):
+    facts = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("term"))
+    counts = facts.groupBy("term").agg(F.count("*").alias("df"))
+    plain = facts.join(counts, "term").select("id", "term", "df")
+    for limit in (0, 100, 10_000):  # all keys hot, one, none
+        found = split_join(facts, counts, ["term"], "df", heavy_rows=limit, most=1 if limit == 10_000 else 1000)
+        assert found.select("id", "term", "df").exceptAll(plain).count() == 0 and found.count() == 1000
+
+
+def test_terms_are_made_once(spark):
+    df = spark.createDataFrame([(1, "a word and a word"), (2, "another word"), (3, None), (4, "")], "id int, text string")
+    plan = V.tfidf_long(df, "id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "LogicalRDD" in plan
+    found = {(r["id"], r["term"]): r["weight"] for r in V.tfidf_long(df, "id", "text").collect()}
+    assert set(found) == {(1, "word"), (1, "and"), (2, "word"), (2, "another")}
+    assert abs(found[2, "word"] ** 2 + found[2, "another"] ** 2 - 1) < 1e-12
+
+
+def test_digest_keys_keep_the_rows(spark):
+    rows = [(1, None, "x", 5), (2, None, "y", 6), (3, "", "x", None), (4, "", "x", 2), (5, "a", "x", None), (6, "a", "x", None)]
+    df = spark.createDataFrame(rows, "id int, m string, l string, at int")
+    kept = {tuple(r) for r in P.dedup_first(df, ["m"], "at").collect()}
+    assert {(1, None, "x", 5), (4, "", "x", 2)} <= kept and len(kept) == 3 and kept <= set(rows)
+    assert {tuple(r) for r in P.dedup_first(df, ["m", "l"], "id").collect()} == {r for r in rows if r[0] in (1, 2, 3, 5)}
+    more = df.union(spark.createDataFrame([(7, "a", "y", 1), (8, "a", None, 1)], df.schema))
+    assert [tuple(r) for r in P.conflicting_labels(more, "m", "l").collect()] == [("a", 2)]
+    plan = P.dedup_first(df, ["m"], "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2(cast(m" in plan and "Aggregate [m" not in plan
+
+
+def test_alarms_per_hit(spark):
+    df = spark.createDataFrame([(0.25,), (0.0,), (None,)], "p double")
+    assert [r[0] for r in df.select(alarms_per_hit(F.col("p"))).collect()] == [4.0, None, None]

@@ -16,6 +16,7 @@ RESULTS = {
     "scored_transactions": {"row_id", "p", "decision", "band"}, "swept_transactions": {"hour", "decision", "n", "mean_p"},
     "scored_customers": {"CustomerId", "p", "prediction", "risk_band"},
     "scored_messages": {"row_id", "label", "spam_probability", "confidence", "json"},
+    "genre_job": {"id", "predicted", "predictions", "calibrated_accuracy"}, "message_job": {"row_id", "label", "spam_probability", "f1"},
     "stream_scored_transactions": {"row_id", "p", "decision"}, "scores_from_saved_bundle": {"CustomerId", "p", "threshold"}}
 
 
