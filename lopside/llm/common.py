@@ -193,7 +193,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int = 5) -> tuple[np.
     first = np.concatenate(([0], np.cumsum(per_text)))[:-1]
     left = (first + per_text)[owner] - np.arange(n)  # words from here to the text's end
     total = np.zeros(n, np.uint64)
-    for k in range(words):
+    for k in range(min(words, n)):
         part = np.zeros(n, np.uint64)
         part[:n - k] = single[k:]
         total = np.where(left > k, total * np.uint64(_BASE) + part, total)

@@ -1,6 +1,7 @@
 """Hashes do not depend on where a span lies, on the order of the spans, or on the slices."""
 
 import numpy as np
+import pyarrow as pa
 
 from lopside.llm import common
 
@@ -20,3 +21,17 @@ def test_span_hashes(monkeypatch):
     monkeypatch.setattr(common, "SLICE", 64)
     assert (common.span_hashes(data, starts, ends) == whole).all() and (common.gram_hashes(data, 7) == grams).all()
     assert len(common.span_hashes(data, starts[:0], ends[:0])) == 0 and len(common.gram_hashes(data[:3], 7)) == 0
+
+
+def test_shingles_of_few_words():
+    """A batch of fewer words than a shingle has; the hash of a run does not depend on what stands around it."""
+    from lopside.llm.common import flat_bytes, shingles
+    whole = {}
+    for text in (b"", b" ", b"a", b"a b", b"a b c", b"a b c d", b"a b c d e"):
+        hashes, owner = shingles(*flat_bytes(pa.array([text], pa.binary())), 5)
+        assert len(hashes) == len(owner) == (1 if text.split() else 0)
+        whole[text] = hashes.tolist()
+        if text.split():
+            longer = pa.array([b"x", text + b" y z", b"z"], pa.binary())
+            assert hashes[0] in shingles(*flat_bytes(longer), len(text.split()))[0]
+    assert len({h for v in whole.values() for h in v}) == 5
