@@ -6,6 +6,8 @@ a very long document makes up a fair part of some window, and their MinHash valu
 agree in at least one of many coordinates. Two Bloom filters of bounded size keep
 windows and shingles that no item has inside the task that reads the document; what
 remains is joined with the items' values, and each candidate pair is counted exactly.
+An item of fewer than five words is a single shingle; runs of as many words are then taken
+from the documents as well.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lopside.llm.common import flat_bytes, mixed, shingles, small_batches, stored, text_bytes, text_slices
+from lopside.llm.common import flat_bytes, mixed, shingles, small_batches, stored, text_bytes, text_slices, word_spans
 
 WORDS = 5
 COORDINATES = 64
@@ -44,27 +46,30 @@ def _passes(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def item_table(items: DataFrame) -> DataFrame:
-    """(item_id, shingles, signature): distinct word shingles and the keys of their MinHash values.
+    """(item_id, words, shingles, signature): distinct word shingles and the keys of their MinHash values.
 
-    Items without words are left out; an item of fewer than five words has one shingle.
+    Items without words are left out; an item of fewer than five words has one shingle. ``words`` is their
+    number, at most five.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "_text"):
-            hashes, owner = shingles(*flat_bytes(batch.column("_text")), WORDS)
-            ids, out = batch.column("item_id").to_pylist(), ([], [], [])
+            data, offsets = flat_bytes(batch.column("_text"))
+            hashes, owner = shingles(data, offsets, WORDS)
+            words = np.bincount(word_spans(data, offsets)[2], minlength=batch.num_rows)
+            ids, out = batch.column("item_id").to_pylist(), ([], [], [], [])
             for k in np.unique(owner):
                 own = np.unique(hashes[owner == k])
                 size_class = len(own).bit_length() - 1
                 least = np.array([(own * f).min() for f in _FACTORS], np.uint64)
                 sign = np.concatenate([_key(size_class, i, least[i:i + 1]) for i in range(COORDINATES)])
-                for column, value in zip(out, (ids[k], own.view(np.int64).tolist(), sign.view(np.int64).tolist())):
+                for column, value in zip(out, (ids[k], min(int(words[k]), WORDS), own.view(np.int64).tolist(), sign.view(np.int64).tolist())):
                     column.append(value)
             lists = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], lists), pa.array(out[2], lists)],
-                                             names=["item_id", "shingles", "signature"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], lists),
+                                              pa.array(out[3], lists)], names=["item_id", "words", "shingles", "signature"])
 
     rows = items.select(items["item_id"].cast("long").alias("item_id"), text_bytes(items).alias("_text"))
-    return rows.mapInArrow(run, "item_id long, shingles array<long>, signature array<long>")
+    return rows.mapInArrow(run, "item_id long, words int, shingles array<long>, signature array<long>")
 
 
 def bloom(values: DataFrame, column: str) -> np.ndarray:
@@ -96,8 +101,11 @@ def _windows(owner: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np
     return first[text] + number * length, text, np.append(text[1:] == text[:-1], False) if len(text) else text.astype(bool)
 
 
-def survivors(docs: DataFrame, classes: list[int], signatures: np.ndarray, known: np.ndarray) -> DataFrame:
-    """(doc_id, _key, keys, shared): documents with a window value that an item may have, and their shared shingles."""
+def survivors(docs: DataFrame, classes: list[int], short: list[int], signatures: np.ndarray, known: np.ndarray) -> DataFrame:
+    """(doc_id, _key, keys, shared): documents with a window value that an item may have, and their shared shingles.
+
+    ``short``: the numbers of words, below five, that items have.
+    """
     context = docs.sparkSession.sparkContext
     filters = context.broadcast((signatures, known))  # at most MOST_BITS bits each
 
@@ -105,7 +113,8 @@ def survivors(docs: DataFrame, classes: list[int], signatures: np.ndarray, known
         sign_filter, known_filter = filters.value
         lists = pa.list_(pa.int64())
         for batch in text_slices(batches, "_text"):
-            hashes, owner = shingles(*flat_bytes(batch.column("_text")), WORDS)
+            data, offsets = flat_bytes(batch.column("_text"))
+            hashes, owner = shingles(data, offsets, WORDS)
             if not len(hashes):
                 continue
             blocks = {c: _windows(owner, 2 << c) for c in classes}
@@ -118,10 +127,22 @@ def survivors(docs: DataFrame, classes: list[int], signatures: np.ndarray, known
                     keys = _key(c, i, least)
                     for k in np.flatnonzero(_passes(keys, sign_filter)):
                         found.setdefault(int(text[k]), []).append(keys[k])
-            if not found:
-                continue
             shared = _passes(hashes, known_filter)
             hits, hit_owner = hashes[shared], owner[shared]
+            for words in short:  # a run of an item's words is all of the item: its own value in every coordinate
+                runs, run_owner = shingles(data, offsets, words)
+                keys = _key(0, 0, runs * _FACTORS[0])
+                may = _passes(runs, known_filter) & _passes(keys, sign_filter)
+                at = np.flatnonzero(may)
+                at = at[np.lexsort((runs[at], run_owner[at]))]
+                at = at[np.append(True, (np.diff(run_owner[at]) != 0) | (runs[at][1:] != runs[at][:-1]))[:len(at)]]  # each run once a text
+                for k in at:
+                    found.setdefault(int(run_owner[k]), []).append(keys[k])
+                hits, hit_owner = np.append(hits, runs[at]), np.append(hit_owner, run_owner[at])
+            if not found:
+                continue
+            order = np.argsort(hit_owner, kind="stable")
+            hits, hit_owner = hits[order], hit_owner[order]
             ids, keys = batch.column("doc_id").to_pylist(), batch.column("_key").to_pylist()
             rows = sorted(found)
             yield pa.RecordBatch.from_arrays(
@@ -142,8 +163,8 @@ def matches(docs: DataFrame, items: DataFrame, containment: float = 0.8) -> Data
     """(doc_id, _key, item_id, n_shared, n_item, containment): items of which a document has most shingles.
 
     Shingles are runs of five lower-cased words; ``containment`` is the least share of an item's
-    distinct shingles that must stand in the document. An item of fewer than five words matches only
-    documents of the same words and no others, not longer ones that contain it. Null or empty texts match nothing; repeated
+    distinct shingles that must stand in the document. An item of fewer than five words is one shingle, and
+    matches every document in which its words follow each other. Null or empty texts match nothing; repeated
     item ids are items of their own only if their texts differ; repeated documents are reported once.
     Empty tables give no rows.
     """
@@ -151,8 +172,9 @@ def matches(docs: DataFrame, items: DataFrame, containment: float = 0.8) -> Data
     table = stored(item_table(items).distinct())
     n = F.size("shingles")
     classes = [r[0] for r in table.select(F.floor(F.log2(n.cast("double"))).cast("int")).distinct().collect()]  # powers of two: few
+    short = [r[0] for r in table.filter(F.col("words") < WORDS).select("words").distinct().collect()]  # four at most
     signatures = table.select("item_id", F.col("shingles").alias("of"), F.explode("signature").alias("key"))
-    found = stored(survivors(docs, sorted(classes), bloom(signatures, "key"),
+    found = stored(survivors(docs, sorted(classes), sorted(short), bloom(signatures, "key"),
                              bloom(table.select(F.explode("shingles").alias("s")).distinct(), "s")).dropDuplicates(["doc_id", "_key"]))
     items_by_hash = table.select("item_id", "shingles", F.xxhash64("item_id", "shingles").alias("_item"))
     pairs = (found.select("doc_id", "_key", F.explode("keys").alias("key"))
@@ -183,7 +205,11 @@ words AS (
     lambda w: w <> '') AS w FROM texts),
 shingle AS (
   SELECT DISTINCT kind, id, array_to_string(w[k : k + least(len(w), 5) - 1], ' ') AS s
-  FROM words, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 4, 1) + 1 END)) AS r(k)),
+  FROM words, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 4, 1) + 1 END)) AS r(k)
+  UNION
+  SELECT kind, id, array_to_string(w[k : k + n - 1], ' ')
+  FROM words, (SELECT DISTINCT len(w) AS n FROM words WHERE kind = 'i' AND len(w) BETWEEN 1 AND 4) AS short,
+    unnest(range(1, greatest(len(w) - n + 2, 1))) AS r(k) WHERE kind = 'd'),
 size AS (SELECT id, count(*) AS n FROM shingle WHERE kind = 'i' GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, CAST(count(*) AS INTEGER) AS n_shared, CAST(any_value(n) AS INTEGER) AS n_item,
        count(*) / CAST(any_value(n) AS DOUBLE) AS containment
