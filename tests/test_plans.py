@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lopside.plans import compare, extras
-from lopside.plans.learners import fit_tabular, forest, histogram_boosting, logistic, score_tabular
+from lopside.plans.learners import fit_tabular, forest, histogram_boosting, logistic, placed, score_tabular
 
 CATEGORICAL, NUMERIC = ["c"], ["x", "z"]
 
@@ -37,6 +37,12 @@ def test_comparison_and_ablation(parts):
     assert found["all"].roc_auc > 0.85 > 0.65 > found["noise"].roc_auc and found["noise"].n_features == 1
 
 
+def test_boosting_tasks_do_not_grow_with_the_rows(spark):
+    keyed = spark.range(100).withColumn("_key", F.md5(F.col("id").cast("string")))
+    few, many, huge = (placed(keyed, n).rdd.getNumPartitions() for n in (60_000, 4_800_000, 100_000_000))
+    assert (few, many, huge) == (6, 48, 100) and placed(keyed, 0).rdd.getNumPartitions() == 1
+
+
 def test_text_comparison_and_gain(spark):
     from lopside.plans.stages import TextTfidf
     rng = random.Random(1)
