@@ -1,6 +1,7 @@
 """Operators against brute force, with one key or value holding a third of the rows."""
 
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -450,6 +451,32 @@ def test_terms_are_made_once(spark):
     assert abs(found[2, "word"] ** 2 + found[2, "another"] ** 2 - 1) < 1e-12
 
 
+def test_terms_in_many_parts(spark, monkeypatch):
+    """Parts follow the bytes of the texts; counts stay in their part, and frequent terms, repeated and missing ids change nothing."""
+    rng = random.Random(9)
+    rows = [(k if k % 10 else None, "hot " + " ".join(f"w{rng.randrange(60)}" for _ in range(12))) for k in range(300)] + [(7, "hot more w1"), (8, None)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    monkeypatch.setattr(V, "PART_BYTES", 500)
+    monkeypatch.setattr(V, "CHAR_PART_BYTES", 2000)
+    counts, parts = V.placed_counts(df, "id", "text")
+    assert 20 < parts < 60 and counts.select("_part").distinct().count() > 10
+    held = {}
+    for i, text in rows:
+        held.setdefault(i, []).extend(re.findall(r"\w\w+", text or ""))
+    tf = {(i, w): ws.count(w) for i, ws in held.items() for w in set(ws)}
+    freq = {w: sum(1 for _, v in tf if v == w) for _, w in tf}
+    assert {(r.id, r.term): r.tf for r in V.kept_counts(df, "id", "text", 50).collect()} == {k: n for k, n in tf.items() if freq[k[1]] >= 50}
+    assert {r.term: r.df for r in V.fitted_vocabulary(df, "id", "text", 50).collect()} == {w: n for w, n in freq.items() if n >= 50}
+    found = V.tfidf_long(df, "id", "text", min_df=50)
+    assert {(r.id, r.term): (r.tf, r.df) for r in found.collect()} == {k: (n, freq[k[1]]) for k, n in tf.items() if freq[k[1]] >= 50}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" in plan and "hashpartitioning(_part" not in plan and "hashpartitioning(id" not in plan
+    new = spark.createDataFrame([(1, "hot w1 unseen"), (2, "w2")], "id long, text string")
+    assert {(r.id, r.term): r.df for r in V.tfidf_apply(df, new, "id", "text").collect()} == {(1, "hot"): freq["hot"], (1, "w1"): freq["w1"], (2, "w2"): freq["w2"]}
+    grams = V.kept_counts(df, "id", "text", 200, analyzer="char_wb", ngram_range=(3, 3)).select("term").distinct().collect()
+    assert {" ho", "hot", "ot "} <= {r.term for r in grams}
+
+
 def test_digest_keys_keep_the_rows(spark):
     rows = [(1, None, "x", 5), (2, None, "y", 6), (3, "", "x", None), (4, "", "x", 2), (5, "a", "x", None), (6, "a", "x", None)]
     df = spark.createDataFrame(rows, "id int, m string, l string, at int")
