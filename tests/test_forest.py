@@ -1,7 +1,10 @@
 """The forest against a plain recursive one, on any partitioning."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -112,3 +115,15 @@ def test_a_balanced_forest_finds_the_rare_class(spark):
         model = fo.BootstrapForest(trees=30, leaf=5, balanced=balanced).fit(rare)
         hits[balanced] = model.transform(rare).filter("prediction = 1 and _y = 1").count()
     assert hits[True] > hits[False]
+
+
+def test_driver_holds_trees_as_arrays(spark):
+    """The fitted trees come to the driver as arrays, which take a fraction of lists of Python numbers."""
+    df = spark.range(3000).select(F.col("id").alias("_key"), (F.xxhash64("id") % 2 == 0).cast("int").alias("_y"),
+                                  array_to_vector(F.array(*[F.rand(k) for k in range(4)])).alias("features"))
+    tracemalloc.start()
+    model = fo.BootstrapForest(60, 1).fit(df)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    held = sum(column.nbytes for tree in model.forest for column in tree)
+    assert held > 1 << 20 and peak < 2 * held
