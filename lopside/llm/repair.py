@@ -60,7 +60,7 @@ def compress(ids: np.ndarray, starts: np.ndarray, least: int = 8, share: int = 3
     lefts, rights, size, old = [], [], len(terminals), 0
     while len(symbols) > 1:
         open_ = joins[:-1]
-        if old:  # every pair of older symbols is rarer than ``least`` by now
+        if old:  # every pair of older symbols is rarer than ``least`` by now, or stays for its overlaps
             new = symbols >= old
             open_ = open_ & (new[:-1] | new[1:])
         open_ = np.flatnonzero(open_)
@@ -94,8 +94,9 @@ def compress(ids: np.ndarray, starts: np.ndarray, least: int = 8, share: int = 3
         joins[at] = joins[at + 1]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
+        keep = np.flatnonzero(keep)
         symbols, joins = symbols[keep], joins[keep]
-        old = size if bound == least and worth.all() else 0
+        old = size if bound == least else 0
         size += len(rules)
     none = np.zeros(0, np.int64)
     return Grammar(terminals.astype(np.uint32), np.concatenate([none, *lefts]), np.concatenate([none, *rights]),
@@ -104,18 +105,28 @@ def compress(ids: np.ndarray, starts: np.ndarray, least: int = 8, share: int = 3
 
 def _found(keys: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places of ``keys`` that hold one of ``chosen`` (sorted), and which one."""
-    slots = np.zeros(1 << 18, bool)  # most keys are ruled out by one look into a small table
-    slots[_slot(chosen)] = True
-    maybe = np.flatnonzero(slots[_slot(keys)])
-    some = keys[maybe]
-    place = np.searchsorted(chosen, some)
-    place[place == len(chosen)] = 0
+    own = np.arange(len(chosen), dtype=np.int32)
+    slots = np.full(1 << 18, -1, np.int32)  # a small table tells of most keys by one look whether and where they are chosen
+    of = _slot(chosen)
+    slots[of] = own
+    place = slots[_slot(keys)]
+    maybe = np.flatnonzero(place >= 0)
+    some, place = keys[maybe], place[maybe]
     right = chosen[place] == some
+    lost = np.flatnonzero(slots[of] != own)  # those whose slot holds another one
+    if len(lost):
+        open_ = np.flatnonzero(~right)
+        at = np.searchsorted(chosen[lost], some[open_])
+        at[at == len(lost)] = 0
+        place[open_] = lost[at]
+        right[open_] = chosen[place[open_]] == some[open_]
     return maybe[right], place[right]
 
 
 def _slot(keys: np.ndarray) -> np.ndarray:
-    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
+    if keys.dtype == np.uint32:
+        return (keys * np.uint32(0x9E3779B1)) >> np.uint32(14)
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.uint32)
 
 
 def expand(grammar: Grammar, lengths: np.ndarray, symbols: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ and a reader of lengths alone does not touch the ids.
 
 from __future__ import annotations
 
+import codecs
 import gc
 import json
 import os
@@ -39,15 +40,34 @@ _LATIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]+$"
 # How byte-level vocabularies show bytes: those that print as themselves, the others from 256 on (a fixed value).
 _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: b for b in _PRINTS} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
-_LETTERS = {c: "".join(chr(_SHOWN[b]) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+_SHOWN_BYTES = "".join(chr(_SHOWN[b]) for b in range(256))
 _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[65:91] += 32
 _FOLDED[9:14] = 32
-_CUT = np.zeros((256, 256), bool)  # by the bytes before and after: whether a token always ends there
-for _a in range(256):
-    for _b in range(256):
-        _k = (_KIND[_a], _KIND[_b])
-        _CUT[_a, _b] = _k[1] == 3 or (2 in _k and 0 not in _k and 3 not in _k) or _k in ((1, 4), (4, 1))
+_CUT = np.zeros(256, np.uint8)  # by 8 * kind of the byte before + kind of the byte after: whether a token always ends there
+for _a in range(5):
+    for _b in range(5):
+        _k = (_a, _b)
+        _CUT[8 * _a + _b] = _b == 3 or (2 in _k and 0 not in _k and 3 not in _k) or _k in ((1, 4), (4, 1))
+
+
+def _mapped(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[data]`` for bytes."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), np.uint8)
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """For all bytes but the last whether a token always ends there."""
+    kind = _mapped(data, _KIND)
+    return _mapped((kind[:-1] << 3) | kind[1:], _CUT).view(bool)
+
+
+def _strings(column: pa.Array) -> tuple[bytes, list[int]]:
+    """The bytes of a large binary or string column without nulls, and where its values begin and end in them."""
+    _, offsets, data = column.buffers()
+    places = np.frombuffer(offsets, np.int64, len(column) + 1, 8 * column.offset) if len(column) else np.zeros(1, np.int64)
+    low, high = int(places[0]), int(places[-1])
+    return bytes(memoryview(data)[low:high]) if high > low else b"", (places - low).tolist()
 
 
 class PieceEncoder:
@@ -94,8 +114,10 @@ class PieceEncoder:
         out = np.empty(len(pieces), object)
         model = self.tokenizer.model.tokenize
         gc.disable()  # many small lists and no cycles
-        for k, word in zip(np.flatnonzero(latin).tolist(), pc.utf8_lower(words.filter(pa.array(latin))).to_pylist()):
-            out[k] = [x.id for x in model(word if word.isascii() else word.translate(_LETTERS))]
+        raw, ends = _strings(pc.utf8_lower(words.filter(pa.array(latin))))
+        shown = codecs.charmap_decode(raw, "strict", _SHOWN_BYTES)[0]  # a character for each byte
+        for k, a, b in zip(np.flatnonzero(latin).tolist(), ends, ends[1:]):
+            out[k] = [x.id for x in model(shown[a:b])]
         gc.enable()
         rest = texts.filter(pa.array(~latin)).to_pylist()
         for k, e in zip(np.flatnonzero(~latin).tolist(), self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
@@ -108,14 +130,15 @@ class PieceEncoder:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(texts, np.int64)
         begins = np.zeros(len(data) + 1, bool)
-        begins[1:-1] = _CUT[data[:-1], data[1:]]
+        begins[1:-1] = _cuts(data)
         begins[offsets] = True
         starts = np.flatnonzero(begins)  # the last one is the end
         if self.plain and not any(self._stands_in(data, x) for x in self.special):
-            data = _FOLDED[data]  # letters and white space that the tokenizer does not tell apart
+            data = _mapped(data, _FOLDED)  # letters and white space that the tokenizer does not tell apart
         column = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)])
         coded = column.dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
+        raw, ends = _strings(coded.dictionary)
+        pieces = [raw[a:b] for a, b in zip(ends, ends[1:])]
         if len(self.known) > self.limit:
             self.clear()
         number = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))

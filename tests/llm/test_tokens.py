@@ -55,6 +55,28 @@ def test_repeats_become_few_symbols():
     assert len(repair.compress(np.zeros(0, np.uint32), np.zeros(0, np.int64)).symbols) == 0
 
 
+def test_later_rounds_look_at_new_symbols_alone(monkeypatch):
+    once = np.arange(10, 5010)
+    often = np.tile([1, 2, 3], (20, 1))  # 1 2 is taken everywhere, so 2 3, found as often, nowhere
+    ids = np.concatenate([once, *(np.append(x, 6000 + k) for k, x in enumerate(often))]).astype(np.uint32)
+    looked, found = [], repair._found
+    monkeypatch.setattr(repair, "_found", lambda keys, chosen: looked.append(len(keys)) or found(keys, chosen))
+    grammar = repair.compress(ids, np.array([0]))
+    assert looked[0] == len(ids) - 1 and len(looked) > 1 and max(looked[1:]) <= 60
+    assert repair.expand(grammar, grammar.lengths(), grammar.symbols).tolist() == ids.tolist()
+
+
+def test_pairs_are_found_where_they_share_a_slot(monkeypatch):
+    keys = np.random.default_rng(3).integers(0, 500, 4000).astype(np.uint32)
+    chosen = np.unique(keys)[::3]
+    for kind in (np.uint32, np.uint64):
+        at, which = repair._found(keys.astype(kind), chosen.astype(kind))
+        assert at.tolist() == np.flatnonzero(np.isin(keys, chosen)).tolist() and (chosen[which] == keys[at]).all()
+    monkeypatch.setattr(repair, "_slot", lambda keys: (keys % 7).astype(np.uint32))
+    at, which = repair._found(keys, chosen)
+    assert at.tolist() == np.flatnonzero(np.isin(keys, chosen)).tolist() and (chosen[which] == keys[at]).all()
+
+
 def test_ids_are_the_library_s(library):
     texts = ODD + [a + b for a in ODD for b in ODD]
     encode = tokens.PieceEncoder(vocabulary("word_bpe_49k.json"), limit=20)
