@@ -127,3 +127,15 @@ def test_driver_holds_trees_as_arrays(spark):
     tracemalloc.stop()
     held = sum(column.nbytes for tree in model.forest for column in tree)
     assert held > 1 << 20 and peak < 2 * held
+
+
+def test_a_table_in_one_part_is_dealt_to_all_cores(monkeypatch, spark):
+    rows = spark.range(3000).selectExpr("id as _key", "array_repeat(cast(id % 97 as double), 2) as x", "cast(id % 3 = 0 as double) as _y").coalesce(1)
+    df = rows.select("_key", array_to_vector("x").alias("features"), "_y")
+    whole = fo.BootstrapForest(trees=3, node_rows=500).fit(df)
+    parts, counted = [], fo._Fit.class_weights
+    monkeypatch.setattr(fo._Fit, "class_weights", lambda self: parts.append(self.rows.rdd.getNumPartitions()) or counted(self))
+    monkeypatch.setattr(fo, "TASK_ROWS", 500)
+    again = fo.BootstrapForest(trees=3, node_rows=500).fit(df)
+    assert parts == [min(6, spark.sparkContext.defaultParallelism)]
+    assert all((a == b).all() for one, two in zip(whole.forest, again.forest) for a, b in zip(one, two))
