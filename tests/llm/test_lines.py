@@ -1,8 +1,10 @@
 import hashlib
+import random
 import re
 
 import pytest
 
+import corpus_pipeline
 from lopside.llm import lines
 from lopside.llm.queries import QUERIES
 
@@ -109,3 +111,57 @@ def test_one_line_in_every_document(spark):
     df = spark.range(5000).selectExpr("id as doc_id", f"concat('{a}', '\n', 'own ', id) as text")
     got = lines.dedup(df.repartition(7)).selectExpr("size(removed) as n", "doc_id").filter("n = 0").collect()
     assert [r.doc_id for r in got] == [0]
+
+
+def test_stretch_of_one_word(spark):
+    rows = [(1, "Begin " + "the " * 60 + "end of one"), (2, "Other " + "THE  " * 114 + "end of two"), (3, "the " * 49 + "three"),
+            (4, "the\n" * 50), (5, "them " * 70), (6, "x " + "the " * 50 + "y " + "the " * 60), (7, "so " * 50 + "and " + "so " * 60)]
+    got = {r.doc_id: r.text for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {1: rows[0][1], 2: "Other end of two", 3: rows[2][1], 4: "", 5: rows[4][1], 6: "x y  ", 7: rows[6][1]}
+    left = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert left == {i: t for i, t in got.items() if t}
+
+
+def shared_words(rows, words):
+    """{doc_id: the places of the words that lie in a run of ``words`` words that an earlier document holds}."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows):
+        own = words_of(text or "")
+        runs = [tuple(own[i:i + words]) for i in range(len(own) - words + 1)]
+        out[doc_id] = {k for i, r in enumerate(runs) if r in seen for k in range(i, i + words)}
+        seen.update(runs)
+    return out
+
+
+def test_passages_wherever_they_begin(spark):
+    pick = random.Random(5)
+
+    def some(n):  # no unit of its own: sentences of at most seven words, all on one line
+        return " ".join(f"w{pick.randrange(10**6)}" + (". " if k % 7 == 6 else "") for k in range(n))
+
+    common = some(50)
+    rows = [(k, some(pick.randrange(60, 160))) for k in range(40)]
+    for k in range(40, 120):
+        other = re.split(" +", pick.choice(rows)[1])
+        at = pick.randrange(len(other))
+        passage = " ".join(other[at:at + pick.randrange(40, 120)])
+        rows.append((k, f"{some(pick.randrange(30))} {passage.upper() if k % 3 else passage} {common if k % 2 else ''} {some(pick.randrange(30))}"))
+    same = some(60)
+    rows += [(120, same[:len(same) // 2] + same), (121, "No " * 300), (122, "no " * 80 + "more"), (123, None), (124, ""), (125, common)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    want = shared_words(rows, 50)
+    assert sum(map(bool, want.values())) > 50
+    for table in (df, df.unionByName(df)):  # rows that come twice are one document
+        got = lines.dedup(table, passage_words=50).collect()
+        assert len(got) == table.count()
+        for r in got:
+            gone = want[r.doc_id]
+            assert words_of(r.text or "") == [w for k, w in enumerate(words_of(dict(rows)[r.doc_id] or "")) if k not in gone]
+    assert lines.dedup(df.limit(0), passage_words=50).count() == 0
+
+
+def test_one_passage_in_every_document(spark):
+    passage = " ".join(f"word{k}" + "." * (k % 5 == 4) for k in range(60))
+    df = spark.range(3000).selectExpr("id as doc_id", f"concat('own', id, ' ', '{passage}', ' end', id) as text")
+    got = {r.doc_id: r.text for r in lines.dedup(df.repartition(7), passage_words=50).collect()}
+    assert got == {k: f"own{k} end{k}" if k else f"own0 {passage} end0" for k in range(3000)}
