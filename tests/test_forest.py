@@ -139,3 +139,41 @@ def test_a_table_in_one_part_is_dealt_to_all_cores(monkeypatch, spark):
     again = fo.BootstrapForest(trees=3, node_rows=500).fit(df)
     assert parts == [min(6, spark.sparkContext.defaultParallelism)]
     assert all((a == b).all() for one, two in zip(whole.forest, again.forest) for a, b in zip(one, two))
+
+
+def test_large_nodes_are_grown_from_a_coded_copy(monkeypatch, spark):
+    """A table with nodes too large for one group is sent out once, coded, not dealt again for every tree; the trees stay the same."""
+    df, x, y = table(spark, 700, 5)
+    made = fo.BootstrapForest(trees=3, leaf=2, node_rows=80, bins=8)
+    copied = made.fit(df)
+    with monkeypatch.context() as m:
+        m.setattr(fo, "COPY_BYTES", 0)
+        dealt = made.fit(df)
+    assert all((a == b).all() for one, two in zip(copied.forest, dealt.forest) for a, b in zip(one, two))
+    assert np.allclose(copied.featureImportances.toArray(), dealt.featureImportances.toArray())
+    monkeypatch.setattr(fo._Fit, "finish_small", lambda *_: pytest.fail("dealt a copy of the rows for every tree"))
+    made.fit(df)
+
+
+def test_dummies_of_one_category_are_counted_together():
+    rng = np.random.default_rng(2)
+    category, value = rng.integers(0, 6, 900), rng.normal(size=900)
+    x = np.column_stack([*(category == k for k in range(1, 6)), category % 2, value]).astype(float)
+    coded = fo.Coded.of_values(x)
+    assert [members for members, _ in coded.bundles] == [[0, 1, 2, 3, 4]]
+    assert (coded.bundles[0][1] == category).all()
+    y, count = (rng.random(900) < 0.1 + 0.1 * category).astype(np.int8), rng.integers(1, 4, 900)
+    tree = fo.grow(x, y, count, np.uint64(7), (1.0, 2.0), 3, 2)
+    want = plain(x, y, count, np.uint64(7), (1.0, 2.0), 3, 2, 10_000, None)
+    assert as_nested(tree[:4]) == want
+    at = fo.descend(x, *tree[:3])
+    assert (fo.leaf_values(x.T.ravel(), 900, 7, *fo.packed(*tree[:4], 7)) == tree[3][at]).all()
+
+
+@pytest.mark.parametrize("same_key", [False, True])
+def test_cut_points_come_from_the_least_keys(spark, same_key):
+    rows = spark.range(5000).select(F.lit(5).alias("key") if same_key else F.xxhash64("id").alias("key"), F.array(F.col("id") * 1.0).alias("x"))
+    cuts = fo._Fit(rows, 1, 1, None, 42, False, 100, 8, 50).cut_points()[0]
+    keys = np.array([r.key for r in rows.select("key").collect()])
+    least = np.sort(np.argsort(keys)[:50]).astype(float)
+    assert len(cuts) == 7 and (same_key or set(cuts) <= set((least[:-1] + least[1:]) / 2))
